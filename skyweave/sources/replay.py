@@ -1,0 +1,79 @@
+"""Streaming source that replays a stored table as a live feed.
+
+Offsets count row groups over the sorted list of files. Each row group is one input partition, read by
+one task, so a batch spreads over the cluster and a re-run of a batch reads the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.types import StructType
+
+
+class RowGroup(InputPartition):
+    def __init__(self, path: str, group: int):
+        self.path = path
+        self.group = group
+
+
+def _open(path: str):
+    import pyarrow.fs as fs
+    import pyarrow.parquet as pq
+
+    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    return pq.ParquetFile(filesystem.open_input_file(inner))
+
+
+def _files(path: str) -> list[str]:
+    import pyarrow.fs as fs
+
+    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if filesystem.get_file_info(inner).is_file:
+        return [path]
+    prefix = path.split("://")[0] + "://" if "://" in path else ""
+    found = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
+    return sorted(prefix + f.path for f in found if f.is_file and f.path.endswith(".parquet"))
+
+
+class ReplayReader(DataSourceStreamReader):
+    def __init__(self, schema: StructType, options: dict):
+        self.columns = schema.names
+        self.schema = schema
+        self.step = int(options.get("groupsPerBatch", "64"))
+        self.groups = [(f, g) for f in _files(options["path"]) for g in range(_open(f).num_row_groups)]
+        self.offered = 0
+
+    def initialOffset(self) -> dict:
+        return {"groups": 0}
+
+    def latestOffset(self) -> dict:
+        self.offered = min(self.offered + self.step, len(self.groups))
+        return {"groups": self.offered}
+
+    def partitions(self, start: dict, end: dict):
+        self.offered = max(self.offered, end["groups"])
+        return [RowGroup(f, g) for f, g in self.groups[start["groups"] : end["groups"]]]
+
+    def read(self, partition: RowGroup):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted = to_arrow_schema(self.schema)
+        for batch in _open(partition.path).iter_batches(row_groups=[partition.group], columns=self.columns):
+            yield batch.cast(wanted)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+class ReplaySource(DataSource):
+    """``spark.readStream.format("replay").schema(...).option("path", ...)``"""
+
+    @classmethod
+    def name(cls) -> str:
+        return "replay"
+
+    def schema(self):
+        raise ValueError("the replay source needs a declared schema")
+
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return ReplayReader(schema, self.options)
