@@ -27,6 +27,7 @@ def build_session(master: str | None = None, partitions: int | None = None, app:
         .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)

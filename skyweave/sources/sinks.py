@@ -55,8 +55,10 @@ def append_log(df: DataFrame, path: str, row_key: list[str]) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> str:
-    """Write a result as CSV files with a header."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Write a result as CSV files with a header; the padding of fixed-width text is kept."""
+    df.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return path
 
 
