@@ -58,12 +58,14 @@ def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
     return row[0] or []
 
 
-def plan_slices(df: DataFrame, order: str, tie: str | None = None, target_rows: int = TARGET_ROWS) -> Slices:
+def plan_slices(df: DataFrame, order: str, tie: str | None = None, target_rows: int | None = None) -> Slices:
     """Choose the cut points for ``df``.
 
-    Small inputs cost one count. Beyond ``target_rows`` one more pass reads the ordering column and
+    Small inputs cost one count. Beyond ``target_rows`` (``TARGET_ROWS`` by
+    default) one more pass reads the ordering column and
     returns at most ``MAX_SLICES`` numbers to the driver.
     """
+    target_rows = target_rows or TARGET_ROWS
     axis = df.select(_axis(df, order).alias(_AXIS), *([_axis(df, tie).alias(_TIE)] if tie else []))
     size = axis.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(_AXIS) == -_INF).alias("unplaced")).first()
     if size.rows <= target_rows:

@@ -31,6 +31,7 @@ TRAIN_ROWS, EVALUATION_ROWS, SCORE_ROWS = 200_000, 50_000, 500_000
 TRAIN_SEED, EVALUATION_SEED, SCORE_SEED = 42, 99, 7
 
 LABEL = "flight_phase"
+ROWS_PER_PARTITION = 20_000
 
 
 def weighted(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -50,6 +51,7 @@ def _estimator(candidate: str, rows: int, rounds: int):
             maxDepth=FOREST_DEPTH,
             seed=42,
             maxMemoryInMB=1024,
+            cacheNodeIds=True,
             **common,
         )
     if candidate == BOOSTING:
@@ -68,15 +70,20 @@ def fit(
 ) -> PipelineModel:
     """Fit one candidate. The result adds ``flight_phase_pred`` to any DataFrame with the features."""
     ensure_checkpoint_dir(train.sparkSession)
-    indexer = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc")
-    labels = indexer.fit(train).labels
+    indexer = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc").fit(train)
+    rows = train.count()
+    # Tree fitting starts many short jobs; partitions below this size cost more than they save.
+    spread = train.repartition(1 + rows // ROWS_PER_PARTITION)
+    prepared = indexer.transform(weighted(spread, label)).select(*features, "label_index", "class_weight").persist()
     stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")]
     if candidate == LOGISTIC:
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True))
-    stages.append(_estimator(candidate, train.count(), rounds))
-    stages.append(IndexToString(inputCol="prediction", outputCol=f"{label}_pred", labels=labels))
-    prepared = indexer.fit(train).transform(weighted(train, label))
-    return Pipeline(stages=stages).fit(prepared)
+    stages.append(_estimator(candidate, rows, rounds))
+    stages.append(IndexToString(inputCol="prediction", outputCol=f"{label}_pred", labels=indexer.labels))
+    try:
+        return Pipeline(stages=stages).fit(prepared)
+    finally:
+        prepared.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:
