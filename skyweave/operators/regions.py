@@ -82,8 +82,8 @@ def regional_summary(routed: DataFrame) -> DataFrame:
     return routed.groupBy("region").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("icao24").alias("n_aircraft"),
-        F.round(F.avg("velocity"), 2).alias("avg_velocity"),
-        F.round(F.avg("baro_altitude"), 2).alias("avg_baro_altitude"),
+        F.round(F.avg("velocity"), 6).alias("avg_velocity"),
+        F.round(F.avg("baro_altitude"), 6).alias("avg_baro_altitude"),
         F.max("baro_altitude").alias("max_baro_altitude"),
         F.count_if(F.col("on_ground")).alias("n_on_ground"),
         F.min("time_position").alias("first_seen"),

@@ -43,7 +43,7 @@ def _estimator(candidate: str, rows: int, rounds: int):
     common = {"labelCol": "label_index", "weightCol": "class_weight"}
     if candidate == LOGISTIC:
         # An L2 penalty of 1 against the summed loss is 1 / rows against Spark's mean loss.
-        return LogisticRegression(featuresCol="scaled", maxIter=1000, regParam=1.0 / max(rows, 1), **common)
+        return LogisticRegression(featuresCol="scaled", maxIter=1000, tol=1e-4, regParam=1.0 / max(rows, 1), **common)
     if candidate == FOREST:
         return RandomForestClassifier(
             featuresCol="features",

@@ -119,8 +119,8 @@ def _box_sql(prelude: str, source: str, column: str, by: str) -> str:
     return f"""{prelude} q AS (SELECT {by}, quantile_cont({column}, 0.25) AS a, quantile_cont({column}, 0.5) AS b,
     quantile_cont({column}, 0.75) AS c FROM {source} GROUP BY 1),
     f AS (SELECT *, a - 1.5 * (c - a) AS lo, c + 1.5 * (c - a) AS hi FROM q)
-    SELECT {by}, count(*) AS n_values, round(max(a), 4) AS q1, round(max(b), 4) AS median, round(max(c), 4) AS q3,
-    round(max(lo), 4) AS fence_low, round(max(hi), 4) AS fence_high,
+    SELECT {by}, count(*) AS n_values, round(max(a), 6) AS q1, round(max(b), 6) AS median, round(max(c), 6) AS q3,
+    round(max(lo), 6) AS fence_low, round(max(hi), 6) AS fence_high,
     min({column}) FILTER (WHERE {column} BETWEEN lo AND hi) AS whisker_low,
     max({column}) FILTER (WHERE {column} BETWEEN lo AND hi) AS whisker_high,
     count(*) FILTER (WHERE NOT ({column} BETWEEN lo AND hi)) AS n_outliers
@@ -191,8 +191,8 @@ def telemetry_metrics() -> metrics.MetricView:
         measures={
             "n_rows": F.count(F.lit(1)),
             "n_aircraft": F.count_distinct("icao24"),
-            "avg_velocity": F.round(F.avg("velocity"), 2),
-            "ground_share": F.round(F.avg(F.col("on_ground").cast("int")), 4),
+            "avg_velocity": F.round(F.avg("velocity"), 6),
+            "ground_share": F.round(F.avg(F.col("on_ground").cast("int")), 6),
         },
         dimensions={
             "phase": F.col("flight_phase"),
@@ -205,8 +205,8 @@ def telemetry_metrics() -> metrics.MetricView:
 @query(
     "metric_view",
     f"""{LABELLED} SELECT flight_phase AS phase, CAST(hour(time_position) AS INTEGER) AS hour, count(*) AS n_rows,
-    count(DISTINCT icao24) AS n_aircraft, round(avg(velocity), 2) AS avg_velocity,
-    round(avg(CAST(on_ground AS INT)), 4) AS ground_share FROM lab GROUP BY 1, 2""",
+    count(DISTINCT icao24) AS n_aircraft, round(avg(velocity), 6) AS avg_velocity,
+    round(avg(CAST(on_ground AS INT)), 6) AS ground_share FROM lab GROUP BY 1, 2""",
 )
 def metric_view(spark, folder):
     return telemetry_metrics().by(labelled(spark, folder), "phase", "hour")
@@ -215,7 +215,7 @@ def metric_view(spark, folder):
 @query(
     "metric_cube",
     f"""{LABELLED}, d AS (SELECT *, flight_phase AS phase, CAST(hour(time_position) AS INTEGER) AS hour FROM lab)
-    SELECT phase, hour, count(*) AS n_rows, round(avg(velocity), 2) AS avg_velocity,
+    SELECT phase, hour, count(*) AS n_rows, round(avg(velocity), 6) AS avg_velocity,
     CAST(grouping(phase, hour) AS INTEGER) AS level FROM d GROUP BY CUBE (phase, hour)""",
 )
 def metric_cube(spark, folder):
@@ -224,7 +224,7 @@ def metric_cube(spark, folder):
 
 @query(
     "metric_alert",
-    f"""{LABELLED}, m AS (SELECT CAST(time_position AS DATE) AS day, round(avg(velocity), 2) AS avg_velocity
+    f"""{LABELLED}, m AS (SELECT CAST(time_position AS DATE) AS day, round(avg(velocity), 6) AS avg_velocity
     FROM lab GROUP BY 1)
     SELECT day, 'avg_velocity' AS metric, avg_velocity AS value, CAST(50.0 AS DOUBLE) AS threshold
     FROM m WHERE avg_velocity > 50""",

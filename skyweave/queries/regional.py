@@ -54,7 +54,7 @@ def region_overlap(spark, folder):
 
 
 _SUMMARY = """SELECT region, count(*) AS n_rows, count(DISTINCT icao24) AS n_aircraft,
-    round(avg(velocity), 2) AS avg_velocity, round(avg(baro_altitude), 2) AS avg_baro_altitude,
+    round(avg(velocity), 6) AS avg_velocity, round(avg(baro_altitude), 6) AS avg_baro_altitude,
     max(baro_altitude) AS max_baro_altitude, count(*) FILTER (WHERE on_ground) AS n_on_ground,
     min(time_position) AS first_seen, max(time_position) AS last_seen FROM gold GROUP BY 1"""
 

@@ -78,7 +78,7 @@ def stream_tumbling(spark, folder):
     f"""{SV}, w AS (SELECT icao24, date_trunc('hour', time_position) - to_hours(o) AS window_start, baro_altitude, velocity
     FROM sv, (VALUES (0), (1)) AS back(o))
     SELECT icao24, window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n_rows,
-    max(baro_altitude) AS max_baro_altitude, round(avg(velocity), 3) AS avg_velocity FROM w
+    max(baro_altitude) AS max_baro_altitude, round(avg(velocity), 6) AS avg_velocity FROM w
     WHERE window_start + INTERVAL 2 HOUR <= {_CLOSED} GROUP BY 1, 2, 3""",
 )
 def stream_sliding(spark, folder):

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 _local_root: str | None = None
 
 
-def build_session(master: str | None = None, partitions: int | None = None, app: str = "skyweave"):
+def build_session(
+    master: str | None = None,
+    partitions: int | None = None,
+    app: str = "skyweave",
+    driver_memory: str | None = None,
+) -> SparkSession:
     """A session with the settings the library is tuned for.
 
     On a cluster leave ``master`` and ``partitions`` unset: AQE coalesces a generous partition
@@ -31,6 +36,8 @@ def build_session(master: str | None = None, partitions: int | None = None, app:
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     else:

@@ -1,7 +1,8 @@
 """Streaming source that replays a stored table as a live feed.
 
-Offsets count row groups over the sorted list of files. Each row group is one input partition, read by
-one task, so a batch spreads over the cluster and a re-run of a batch reads the same rows.
+Offsets count the files of the table in name order. Each file is one input partition, read in batches by one
+task, so the work spreads over the cluster, the driver never opens a file, and a batch that runs
+again reads the same rows.
 """
 
 from __future__ import annotations
@@ -10,56 +11,56 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.types import StructType
 
 
-class RowGroup(InputPartition):
-    def __init__(self, path: str, group: int):
+class OneFile(InputPartition):
+    def __init__(self, path: str):
         self.path = path
-        self.group = group
 
 
-def _open(path: str):
+def _resolve(path: str):
     import pyarrow.fs as fs
-    import pyarrow.parquet as pq
 
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return pq.ParquetFile(filesystem.open_input_file(inner))
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def _files(path: str) -> list[str]:
     import pyarrow.fs as fs
 
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    filesystem, inner = _resolve(path)
     if filesystem.get_file_info(inner).is_file:
         return [path]
-    prefix = path.split("://")[0] + "://" if "://" in path else ""
+    prefix = path[: path.index("://") + 3] if "://" in path else ""
     found = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
     return sorted(prefix + f.path for f in found if f.is_file and f.path.endswith(".parquet"))
 
 
 class ReplayReader(DataSourceStreamReader):
     def __init__(self, schema: StructType, options: dict):
-        self.columns = schema.names
         self.schema = schema
-        self.step = int(options.get("groupsPerBatch", "64"))
-        self.groups = [(f, g) for f in _files(options["path"]) for g in range(_open(f).num_row_groups)]
+        self.files = _files(options["path"])
+        # Without a cap one batch takes the whole table, which is what a run-once trigger needs.
+        self.step = int(options.get("filesPerBatch", len(self.files) or 1))
         self.offered = 0
 
     def initialOffset(self) -> dict:
-        return {"groups": 0}
+        return {"files": 0}
 
     def latestOffset(self) -> dict:
-        self.offered = min(self.offered + self.step, len(self.groups))
-        return {"groups": self.offered}
+        self.offered = min(self.offered + self.step, len(self.files))
+        return {"files": self.offered}
 
     def partitions(self, start: dict, end: dict):
-        self.offered = max(self.offered, end["groups"])
-        return [RowGroup(f, g) for f, g in self.groups[start["groups"] : end["groups"]]]
+        self.offered = max(self.offered, end["files"])
+        return [OneFile(f) for f in self.files[start["files"] : end["files"]]]
 
-    def read(self, partition: RowGroup):
+    def read(self, partition: OneFile):
+        import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import to_arrow_schema
 
         wanted = to_arrow_schema(self.schema)
-        for batch in _open(partition.path).iter_batches(row_groups=[partition.group], columns=self.columns):
-            yield batch.cast(wanted)
+        filesystem, inner = _resolve(partition.path)
+        with filesystem.open_input_file(inner) as source:
+            for batch in pq.ParquetFile(source).iter_batches(columns=self.schema.names):
+                yield batch.cast(wanted)
 
     def commit(self, end: dict) -> None:
         pass

@@ -11,7 +11,7 @@ from skyweave.sources.telemetry import KEY, TIME
 
 
 def tumbling_counts(stream: DataFrame, size: str = "1 day", ts: str = TIME) -> DataFrame:
-    """Rows and entities seen per window (entities approximately: exact distinct has no bounded state)."""
+    """Rows, and rows with a velocity, per window."""
     return (
         stream.groupBy(F.window(ts, size).alias("w"))
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count("velocity").alias("n_velocity"))
@@ -30,7 +30,7 @@ def sliding_features(
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.max("baro_altitude").alias("max_baro_altitude"),
-            F.round(F.avg("velocity"), 3).alias("avg_velocity"),
+            F.round(F.avg("velocity"), 6).alias("avg_velocity"),
         )
         .select(
             key,
