@@ -298,48 +298,3 @@ def as_of(
     return scanned.where(F.col("__rank") < _INF).select(
         *rows.columns, *[F.col("__match").getField(v).alias(v) for v in values]
     )
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probs: list[float],
-    *,
-    by: list[str] | None = None,
-    slices: Slices | None = None,
-) -> DataFrame:
-    """Exact interpolated percentiles, one row per (group, feature), as columns q0, q1, ...
-
-    Values are first counted (map-side combine collapses repeats), then the counts are accumulated in
-    value order with ``ordered_scan``; no task holds all the values of a group.
-    """
-    by = by or []
-    values = df.unpivot(by, columns, "feature", "value").where(F.col("value").isNotNull())
-    if slices is None:
-        slices = plan_slices(values, "value")
-    counted = values.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("__n"))
-    ranked = ordered_scan(
-        counted,
-        [*by, "feature"],
-        "value",
-        running={"__cum": F.col("__n")},
-        totals={"__all": F.col("__n")},
-        slices=slices,
-    )
-
-    def at_rank(rank: Column) -> Column:
-        hit = (F.col("__cum") > rank) & (F.col("__cum") - F.col("__n") <= rank)
-        return F.max(F.when(hit, F.col("value")))
-
-    picks, outputs = [], []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("__all") - 1)
-        lower = F.floor(position)
-        picks += [
-            at_rank(lower).alias(f"__lo{i}"),
-            at_rank(F.ceil(position)).alias(f"__hi{i}"),
-            F.max(position - lower).alias(f"__w{i}"),
-        ]
-        low, high, weight = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__w{i}")
-        outputs.append((low + (high - low) * weight).alias(f"q{i}"))
-    return ranked.groupBy(*by, "feature").agg(*picks).select(*by, "feature", *outputs)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_root: str | None = None
 
@@ -74,6 +75,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_side(df: DataFrame, name: str, limit: int = 10_000) -> DataFrame:
+    """The small side of a join, computed once.
+
+    Up to ``limit`` rows become a local table marked for broadcast. Anything larger is written to the
+    shared folder and left to an ordinary shuffle join.
+    """
+    spark = df.sparkSession
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return F.broadcast(spark.createDataFrame(rows, df.schema))
+    return materialise(df, name)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative jobs a place for their checkpoints where the cluster has not named one."""
     if spark.conf.get("spark.checkpoint.dir", None) is None:

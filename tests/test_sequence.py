@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyweave.operators import sequence
-from skyweave.operators.sequence import as_of, exact_quantiles, ordered_scan, plan_slices, trailing_sums
+from skyweave.operators import quantiles
+from skyweave.operators.quantiles import exact_quantiles
+from skyweave.operators.sequence import as_of, ordered_scan, plan_slices, trailing_sums
 
 START = datetime(2024, 3, 1)
 
@@ -113,16 +115,23 @@ def test_as_of_is_strict(spark, target, monkeypatch):
         assert r.version == (max(older)[1] if older else None)
 
 
-@pytest.mark.parametrize("target", [10_000, 20])
-def test_exact_quantiles(spark, target, monkeypatch):
+@pytest.mark.parametrize("target", [1_000_000, 20])
+@pytest.mark.parametrize("whole", [20_000, 0])
+def test_exact_quantiles(spark, target, whole, monkeypatch):
     import numpy as np
 
     monkeypatch.setattr(sequence, "TARGET_ROWS", target)
     rng = random.Random(1)
-    values = [("x", 7.0)] * 200 + [("x", rng.random() * 100) for _ in range(300)] + [("y", 3.5)]
-    df = spark.createDataFrame([(g, v, None) for g, v in values] + [("x", None, None)], "g string, v double, w double")
+    # One value holds a third of the group, and one group is null.
+    values = [("x", 7.0)] * 20_000 + [("x", rng.random() * 100) for _ in range(40_000)]
+    values += [(None, float(v)) for v in range(21_000)]
+    if whole:
+        values += [("y", 3.5), ("z", 1.0), ("z", 2.0)]
+    monkeypatch.setattr(quantiles, "WHOLE_GROUP", whole)
+    df = spark.createDataFrame(values + [("x", None)], "g string, v double").repartition(4)
     probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
     got = {r.g: r for r in exact_quantiles(df, ["v"], probs, by=["g"]).collect()}
-    for g in ("x", "y"):
+    for g in {k for k, _ in values}:
         expected = np.quantile([v for k, v in values if k == g], probs)
-        assert np.allclose([got[g][f"q{i}"] for i in range(len(probs))], expected)
+        assert np.allclose([got[g][f"q{i}"] for i in range(len(probs))], expected), g
+    assert got["x"].n_values == 60_000
