@@ -49,8 +49,10 @@ def exact_quantiles(
         *[edge(i, p - _MARGIN <= 0).alias(f"__lo{i}") for i, p in enumerate(probs)],
         *[edge(len(probs) + i, p + _MARGIN >= 1).alias(f"__hi{i}") for i, p in enumerate(probs)],
     ).drop("__points")
-    groups = bounded_side(edges.withColumnsRenamed({k: f"__g_{k}" for k in [*by, "feature"]}), "quantile-edges")
-    ranked = _rank_bands(long, groups, by, len(probs))
+    keys = [*by, "feature"]
+    groups, rows = bounded_side(edges.withColumnsRenamed({k: f"__g_{k}" for k in keys}), "quantile-edges")
+    values = sum(r.n_values for r in rows) if rows is not None else None
+    ranked = _rank_bands(long, groups, keys, len(probs), values)
 
     def value_at(i: int, rank: Column) -> Column:
         hit = (F.col("__band") == i) & (F.col("__through") > rank) & (F.col("__through") - F.col("__n") <= rank)
@@ -66,20 +68,23 @@ def exact_quantiles(
         low, high = F.col(f"__a{i}"), F.col(f"__b{i}")
         outputs.append((low + (high - low) * (position - F.floor(position))).alias(f"q{i}"))
     kept = [c for c in groups.columns if not c.startswith("__")]
-    found = ranked.groupBy(*by, "feature", *kept).agg(*picks)
-    return found.select(*by, "feature", *kept, *outputs)
+    found = ranked.join(groups, _same_group(keys)).groupBy(*keys, *kept).agg(*picks)
+    return found.select(*keys, *kept, *outputs)
+
+
+def _same_group(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
+    return same
 
 
-def _rank_bands(long: DataFrame, groups: DataFrame, by: list[str], bands: int) -> DataFrame:
+def _rank_bands(long: DataFrame, groups: DataFrame, keys: list[str], bands: int, values: int | None) -> DataFrame:
     """Values inside each band with the number of values up to and including them.
 
     Everything below a band is folded into one entry with a null value, which sorts first, so the
     running count of a band starts at the right rank.
     """
-    keys = [*by, "feature"]
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
     value = F.col("value")
     entries = F.array(
         *[
@@ -91,16 +96,15 @@ def _rank_bands(long: DataFrame, groups: DataFrame, by: list[str], bands: int) -
             for i in range(bands)
         ]
     )
-    carried = [c for c in groups.columns if not c.startswith("__")]
     counted = (
-        long.join(groups, same)
-        .select(*keys, *carried, F.inline(F.filter(entries, lambda e: e["__wanted"])))
-        .groupBy(*keys, *carried, "__band", "__v")
+        long.join(groups, _same_group(keys))
+        .select(*keys, F.inline(entries))
+        .where(F.col("__wanted"))
+        .groupBy(*keys, "__band", "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     slices = Slices()
-    values = groups.agg(F.sum("n_values")).first()[0] or 0
-    if values > sequence.TARGET_ROWS:
+    if values is None or values > sequence.TARGET_ROWS:
         # Bands of a large input may be large themselves: keep their counts, then cut them evenly.
         counted = materialise(counted, "quantile-bands")
         slices = plan_slices(counted, "__v")

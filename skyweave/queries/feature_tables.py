@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyweave.functions.labels import PHASES, flight_phase
 from skyweave.operators import features, sampling
-from skyweave.operators.sequence import as_of
+from skyweave.operators.sequence import as_of, plan_slices
 from skyweave.queries.base import CURATED, LABELLED, PHASE, RULE_CLASS, SV, curated, labelled, query
 from skyweave.queries.sources import prediction_log, rounded_features
 from skyweave.sources.telemetry import state_vectors, table
@@ -62,7 +62,9 @@ def asof_features(spark, folder):
         "known_at", F.date_add("day", 1).cast("timestamp_ntz")
     )
     names = ["avg_velocity", "max_baro_altitude", "num_state_vectors", "known_at"]
-    joined = as_of(rows, versions, ["icao24"], "time_position", "known_at", names, "event_id")
+    # A key has at most one version a day, so cutting by the rows alone is even enough.
+    slices = plan_slices(rows, "time_position", "event_id")
+    joined = as_of(rows, versions, ["icao24"], "time_position", "known_at", names, "event_id", slices=slices)
     return joined.select("event_id", F.round("avg_velocity", 6).alias("avg_velocity"), *names[1:])
 
 

@@ -238,7 +238,6 @@ def append_log(spark, folder):
 )
 def replace_where(spark, folder):
     path = scratch_path(spark, "by-day")
-    # One shuffle by day in front of each write: a day becomes a few files, not one per task.
     rows = table(spark, folder, "events").select("event_id", F.to_date("ts").alias("day"), "value")
     sinks.overwrite(rows, path, ["day"])
     revised = rows.withColumn("value", F.col("value") * 2)

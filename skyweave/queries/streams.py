@@ -11,7 +11,7 @@ from skyweave.queries.base import SILVER, SV, query
 from skyweave.queries.learning import fitted
 from skyweave.queries.quality import _EXPECT
 from skyweave.session import scratch_path
-from skyweave.sources.replay import ReplaySource
+from skyweave.sources import replay
 from skyweave.sources.telemetry import events_path, table, to_state_vectors
 from skyweave.streaming import run, tables, windows
 
@@ -38,7 +38,7 @@ def stream_file_ingest(spark, folder):
 
 @query("stream_replay_source", "SELECT * FROM events")
 def stream_replay_source(spark, folder):
-    spark.dataSource.register(ReplaySource)
+    replay.register(spark)
     path = f"{folder}/events.parquet"
     stream = spark.readStream.format("replay").schema(spark.read.parquet(path).schema).option("path", path).load()
     return run.drain(stream, "replay")

@@ -32,6 +32,10 @@ def build_session(
         .config("spark.sql.files.maxPartitionBytes", "256m")
         .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -75,17 +79,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_side(df: DataFrame, name: str, limit: int = 10_000) -> DataFrame:
-    """The small side of a join, computed once.
+def bounded_side(df: DataFrame, name: str, limit: int = 10_000) -> tuple[DataFrame, list | None]:
+    """The small side of a join, computed once, with its rows.
 
     Up to ``limit`` rows become a local table marked for broadcast. Anything larger is written to the
-    shared folder and left to an ordinary shuffle join.
+    shared folder, left to an ordinary shuffle join, and has no rows here.
     """
     spark = df.sparkSession
     rows = df.limit(limit + 1).collect()
     if len(rows) <= limit:
-        return F.broadcast(spark.createDataFrame(rows, df.schema))
-    return materialise(df, name)
+        return F.broadcast(spark.createDataFrame(rows, df.schema)), rows
+    return materialise(df, name), None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -7,6 +7,10 @@ again reads the same rows.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -78,3 +82,9 @@ class ReplaySource(DataSource):
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         return ReplayReader(schema, self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Make the source known to a session. The class travels by value, so workers need no install."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(ReplaySource)

@@ -8,9 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Bring the rows of a folder together before a partitioned write.
+
+    Without it every task would write a small file into every folder. Rebalancing lets AQE split a
+    folder that holds far more rows than the others.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Replace a table, schema included."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = _gathered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -75,6 +84,8 @@ def replace_range(df: DataFrame, path: str, partition: str, start: date, end: da
     emptied = stored.join(inside.select(partition).distinct(), partition, "left_anti")
     if not emptied.isEmpty():
         raise ValueError(f"no new rows for some stored days between {start} and {end}")
-    inside.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    _gathered(inside, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition
+    ).parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -84,9 +84,9 @@ def test_second_run_reads_only_new_files(spark, folder):
 
 
 def test_replay_reads_every_file_once(spark, folder):
-    from skyweave.sources.replay import ReplaySource
+    from skyweave.sources import replay
 
-    spark.dataSource.register(ReplaySource)
+    replay.register(spark)
     path = scratch_path(spark, "test-replay")
     events = table(spark, folder, "events")
     events.repartition(7).write.parquet(path)
