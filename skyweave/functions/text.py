@@ -25,6 +25,11 @@ def compact_number(value: Column) -> Column:
     )
 
 
+def grouped_number(value: Column) -> Column:
+    """Whole number with thousands separators, 1,234,567."""
+    return F.format_number(value, 0)
+
+
 def clock(ts: Column) -> Column:
     """Time of day as HH:mm:ss."""
     return F.date_format(ts, "HH:mm:ss")

@@ -103,11 +103,8 @@ def macro_f1(df: DataFrame, actual: str, predicted: str, digits: int = 6) -> Dat
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight of each class: rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
-    whole = counts.agg(F.sum("n_rows").alias("rows"), F.count(F.lit(1)).alias("classes"))
-    return counts.withColumn(
-        "class_weight",
-        whole.select("rows").scalar() / (whole.select("classes").scalar() * F.col("n_rows")),
-    )
+    whole = counts.agg(F.struct(F.sum("n_rows").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
+    return counts.withColumn("class_weight", whole["rows"] / (whole["classes"] * F.col("n_rows")))
 
 
 def best_candidate(metrics: DataFrame, score: str = "macro_f1", name: str = "candidate") -> DataFrame:

@@ -54,9 +54,11 @@ def lookup(
     total = counts.agg(F.sum("__n")).scalar()
     hot = counts.where(F.col("__n") > total * hot_share).select(key, F.lit(pieces).alias("__pieces"))
     spread = F.coalesce(F.col("__pieces"), F.lit(1))
+    # Rows without a key match nothing, so they may go anywhere.
+    dealt = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(spread)
     left = (
         df.join(F.broadcast(hot), key, "left")
-        .withColumn("__piece", F.pmod(F.xxhash64(row_id), spread).cast("int"))
+        .withColumn("__piece", F.pmod(F.xxhash64(row_id), dealt).cast("int"))
         .drop("__pieces")
     )
     right = (

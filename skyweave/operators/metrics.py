@@ -78,12 +78,13 @@ def population_shift(
         )
     )
     totals = counts.agg(
-        F.sum("n_reference").alias("r"), F.sum("n_current").alias("c"), F.count(F.lit(1)).alias("bins")
-    )
-    bins = totals.select("bins").scalar()
+        F.struct(
+            F.sum("n_reference").alias("r"), F.sum("n_current").alias("c"), F.count(F.lit(1)).alias("bins")
+        )
+    ).scalar()
 
     def share(count: str, total: str) -> Column:
-        return (F.col(count) + smoothing) / (totals.select(total).scalar() + smoothing * bins)
+        return (F.col(count) + smoothing) / (totals[total] + smoothing * totals["bins"])
 
     reference, current = share("n_reference", "r"), share("n_current", "c")
     return (

@@ -243,8 +243,8 @@ def glyph_points(df: DataFrame, ts: str = TIME, altitude: str = "baro_altitude")
     a single altitude everywhere gives radius 0.
     """
     known = df.where(F.col(altitude).isNotNull())
-    bounds = known.agg(F.min(altitude).alias("low"), F.max(altitude).alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    bounds = known.agg(F.struct(F.min(altitude).alias("low"), F.max(altitude).alias("high"))).scalar()
+    low, high = bounds["low"], bounds["high"]
     second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
     value = F.col(altitude)
     return (

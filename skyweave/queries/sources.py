@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 from skyweave.functions.labels import flight_phase
-from skyweave.functions.text import address_status, callsign_status, clock, compact_number
+from skyweave.functions.text import address_status, callsign_status, clock, compact_number, grouped_number
 from skyweave.operators.features import ROW_FEATURES, entity_features, without_nulls
 from skyweave.operators.metrics import cross_filter
 from skyweave.operators.profile import describe, kpi_tiles, sensor_stats
@@ -362,6 +362,15 @@ def scalar_compact_number(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", compact_number(amount).alias("compact"))
 
 
+@query(
+    "scalar_grouped_number",
+    "SELECT o_orderkey, format('{:,}', CAST(round(o_totalprice * 100) AS BIGINT)) AS grouped FROM orders",
+)
+def scalar_grouped_number(spark, folder):
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    return table(spark, folder, "orders").select("o_orderkey", grouped_number(cents).alias("grouped"))
+
+
 @query(
     "identifier_validity",
     f"""{SV} SELECT CASE WHEN icao24 IS NULL THEN 'missing' WHEN regexp_matches(icao24, '^[0-9a-fA-F]{{6}}$')
