@@ -235,18 +235,17 @@ def trailing_sums(
     rows a window holds. Use exact types (integers, decimals) for the sums.
     """
     instants = df.groupBy(*keys, ts).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    event = instants.select(*keys, F.col(ts).alias("__at"), F.col(ts), F.lit(1).alias("__kind"), *sums)
-    probe = instants.select(
-        *keys,
-        (F.col(ts) - F.expr(f"INTERVAL '{seconds}' SECOND")).alias("__at"),
-        F.col(ts),
+    window = F.expr(f"INTERVAL '{seconds}' SECOND")
+    event = F.struct(F.col(ts).alias("__at"), F.lit(1).alias("__kind"), *[F.col(n) for n in sums])
+    probe = F.struct(
+        (F.col(ts) - window).alias("__at"),
         F.lit(0).alias("__kind"),
         *[F.lit(None).cast(instants.schema[n].dataType).alias(n) for n in sums],
     )
-    both = event.unionByName(probe)
+    both = instants.select(*keys, ts, F.inline(F.array(event, probe)))
     if slices is None:
         at = df.select(F.col(ts).alias("__at"))
-        slices = plan_slices(at.union(at.select(F.col("__at") - F.expr(f"INTERVAL '{seconds}' SECOND"))), "__at")
+        slices = plan_slices(at.union(at.select(F.col("__at") - window)), "__at")
     scanned = ordered_scan(
         both,
         keys,

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 _local_root: str | None = None
 
+# Most rows a side may have to be broadcast.
+BROADCAST_ROWS = 10_000
+
 
 def build_session(
     master: str | None = None,
@@ -79,15 +82,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_side(df: DataFrame, name: str, limit: int = 10_000) -> tuple[DataFrame, list | None]:
+def bounded_side(df: DataFrame, name: str) -> tuple[DataFrame, list | None]:
     """The small side of a join, computed once, with its rows.
 
-    Up to ``limit`` rows become a local table marked for broadcast. Anything larger is written to the
+    Up to ``BROADCAST_ROWS`` rows become a local table marked for broadcast. Anything larger is written to the
     shared folder, left to an ordinary shuffle join, and has no rows here.
     """
     spark = df.sparkSession
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
+    rows = df.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) <= BROADCAST_ROWS:
         return F.broadcast(spark.createDataFrame(rows, df.schema)), rows
     return materialise(df, name), None
 

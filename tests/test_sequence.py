@@ -7,8 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from skyweave.operators import sequence
-from skyweave.operators import quantiles
+from skyweave import session
+from skyweave.operators import quantiles, sequence
 from skyweave.operators.quantiles import exact_quantiles
 from skyweave.operators.sequence import as_of, ordered_scan, plan_slices, trailing_sums
 
@@ -115,11 +115,11 @@ def test_as_of_is_strict(spark, target, monkeypatch):
         assert r.version == (max(older)[1] if older else None)
 
 
-@pytest.mark.parametrize("target", [1_000_000, 20])
-@pytest.mark.parametrize("whole", [20_000, 0])
-def test_exact_quantiles(spark, target, whole, monkeypatch):
+@pytest.mark.parametrize("target, whole, broadcast", [(1_000_000, 20_000, 10_000), (20, 0, 10_000), (20, 20_000, 1)])
+def test_exact_quantiles(spark, target, whole, broadcast, monkeypatch):
     import numpy as np
 
+    monkeypatch.setattr(session, "BROADCAST_ROWS", broadcast)
     monkeypatch.setattr(sequence, "TARGET_ROWS", target)
     rng = random.Random(1)
     # One value holds a third of the group, and one group is null.
@@ -135,3 +135,20 @@ def test_exact_quantiles(spark, target, whole, monkeypatch):
         expected = np.quantile([v for k, v in values if k == g], probs)
         assert np.allclose([got[g][f"q{i}"] for i in range(len(probs))], expected), g
     assert got["x"].n_values == 60_000
+
+
+class OnACluster:
+    """Just enough of a session to ask where shared files go."""
+
+    class conf:
+        @staticmethod
+        def get(name, default=None):
+            return default
+
+    class sparkContext:
+        master = "yarn"
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError):
+        session.scratch_root(OnACluster())
