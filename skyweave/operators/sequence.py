@@ -236,13 +236,10 @@ def trailing_sums(
     """
     instants = df.groupBy(*keys, ts).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
     window = F.expr(f"INTERVAL '{seconds}' SECOND")
-    event = F.struct(F.col(ts).alias("__at"), F.lit(1).alias("__kind"), *[F.col(n) for n in sums])
-    probe = F.struct(
-        (F.col(ts) - window).alias("__at"),
-        F.lit(0).alias("__kind"),
-        *[F.lit(None).cast(instants.schema[n].dataType).alias(n) for n in sums],
-    )
-    both = instants.select(*keys, ts, F.inline(F.array(event, probe)))
+    # The names put a probe before an event of the same time.
+    ends = {"__0_probe": F.col(ts) - window, "__1_event": F.col(ts)}
+    both = instants.withColumns(ends).unpivot([*keys, ts, *sums], list(ends), "__kind", "__at")
+    is_event = F.col("__kind") == "__1_event"
     if slices is None:
         at = df.select(F.col(ts).alias("__at"))
         slices = plan_slices(at.union(at.select(F.col("__at") - window)), "__at")
@@ -251,15 +248,15 @@ def trailing_sums(
         keys,
         "__at",
         "__kind",
-        running={f"__c_{n}": F.col(n) for n in sums},
+        running={f"__c_{n}": F.when(is_event, F.col(n)) for n in sums},
         slices=slices,
     )
     zero = F.lit(0)
     return scanned.groupBy(*keys, ts).agg(
         *[
             (
-                F.max(F.when(F.col("__kind") == 1, F.coalesce(F.col(f"__c_{n}"), zero)))
-                - F.max(F.when(F.col("__kind") == 0, F.coalesce(F.col(f"__c_{n}"), zero)))
+                F.max(F.when(is_event, F.coalesce(F.col(f"__c_{n}"), zero)))
+                - F.max(F.when(~is_event, F.coalesce(F.col(f"__c_{n}"), zero)))
             ).alias(n)
             for n in sums
         ]
