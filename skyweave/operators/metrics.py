@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +98,3 @@ def stability_index(shift: DataFrame, limit: float = 0.2, digits: int = 6) -> Da
     return shift.agg(
         F.round(psi, digits).alias("psi"), (psi > limit).alias("drifted"), F.count(F.lit(1)).alias("n_bins")
     )
-
-
-def any_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
