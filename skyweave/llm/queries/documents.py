@@ -3,8 +3,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyweave.llm.langid import language
 from skyweave.llm.quality import LineLimits, judged, measured
 from skyweave.llm.queries.registry import query, table
+from skyweave.llm.toxicity import toxicity
 from skyweave.llm.workspace import Workspace
 
 
@@ -23,3 +25,22 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         "removed_words",
     )
+
+
+def _fold(count: int):
+    return F.crc32(F.col("doc_id").cast("string")) % count
+
+
+@query("op6_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    found = language(table(spark, folder, "documents"), ~held_out)
+    return found.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "margin", "accepted")
+
+
+@query("op9_toxicity")
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(5), Workspace(spark, "toxicity")
+    )
+    return found.select("doc_id", "held_out", "score", "predicted")
