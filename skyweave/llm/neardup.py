@@ -109,7 +109,7 @@ _SKETCH = (
 )
 
 
-def _sketcher(how: Similarity):
+def _sketcher(how: Similarity, extra: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -127,6 +127,7 @@ def _sketcher(how: Similarity):
                     folded[1, row[first]] = np.add.reduceat(mix(value ^ np.uint64(0x5851F42D4C957F2D)), first)
                 bands = registers(value, row, len(part), how).view(np.int64).reshape(-1)
                 offsets = np.arange(0, width * len(part) + 1, width, dtype=np.int32)
+                others = [batch.column(2 + i).slice(at, len(part)) for i in range(extra)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(number + np.arange(len(part)), pa.int64()),
@@ -136,8 +137,9 @@ def _sketcher(how: Similarity):
                         pa.array(folded[1].view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands)),
                         part.cast(pa.string()),
+                        *others,
                     ],
-                    names=["row_id", "doc_id", "n_shingles", "set_a", "set_b", "bands", "text"],
+                    names=["row_id", "doc_id", "n_shingles", "set_a", "set_b", "bands", "text", *batch.schema.names[2:]],
                 )
                 number += len(part)
 
@@ -297,13 +299,15 @@ def _block_links(members: DataFrame, leaders: DataFrame, open_: DataFrame, opene
     )
 
 
-def near_duplicates(docs: DataFrame, workspace: Workspace, how: Similarity = Similarity()) -> DataFrame:
-    """A row per row of ``docs`` (``doc_id``, ``text``): row_id, doc_id, n_shingles, set_id, component_id, kept.
+def _sketched(docs: DataFrame, workspace: Workspace, how: Similarity, kept_cols: list[str] = ()) -> DataFrame:
+    extra = [F.col(f"`{c}`").alias(f"in_{c}") for c in kept_cols]
+    types = "".join(f", `in_{c}` {docs.schema[c].dataType.simpleString()}" for c in kept_cols)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *extra)
+    return workspace.keep(source.mapInArrow(_sketcher(how, len(extra)), _SKETCH + types), "base")
 
-    ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks rows with that very id. Rows with one set are
-    one class (``set_id``) whatever their number; classes are compared, copies never. Null texts and texts without words have
-    an empty set and are linked with nothing. Null ids count as missing when the smallest is taken. Repeated rows are rows of
-    one class. Empty tables give empty results; other columns are not looked at.
+
+def _placed(base: DataFrame, workspace: Workspace, how: Similarity) -> DataFrame:
+    """Every class of equal sets with its component: the component's smallest doc_id and the row that stays of it.
 
     Within a bucket (classes that agree in a band) a few leaders are compared with all members, so a bucket makes
     rows in proportion to its members and never all pairs. Links found join classes to components. A bucket whose members still
@@ -313,11 +317,14 @@ def near_duplicates(docs: DataFrame, workspace: Workspace, how: Similarity = Sim
     is still open: what they can share bounds their similarity, which spares loose groups of copies nearly all
     comparisons. Nothing is capped.
     """
-    base = workspace.keep(docs.select("doc_id", "text").mapInArrow(_sketcher(how), _SKETCH), "base")
     classes = workspace.keep(
         base.where("n_shingles > 0")
         .groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min("row_id").alias("cls"), F.min("doc_id").alias("least_id")),
+        .agg(
+            F.min("row_id").alias("cls"),
+            F.min("doc_id").alias("least_id"),
+            F.min_by("row_id", F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("first_row"),
+        ),
         "classes",
     )
     banded = (
@@ -396,19 +403,36 @@ def near_duplicates(docs: DataFrame, workspace: Workspace, how: Similarity = Sim
         members = members_next
         turn += 1
     workspace.drop("cards", "opened", f"members-{turn}", f"labelled-{turn}")
-    if roots is None:
-        named = classes.withColumn("component_id", F.col("least_id"))
-    else:
-        placed = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
-            "root", F.coalesce("root", "cls")
-        )
-        least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-        named = placed.join(least, "root")
-    named = workspace.keep(named.select("set_a", "set_b", "n_shingles", "cls", "component_id"), "named")
+    placed = classes.withColumn("root", F.col("cls"))
+    if roots is not None:
+        found = roots.select(F.col("node").alias("cls"), F.col("root").alias("top"))
+        placed = classes.join(found, "cls", "left").withColumn("root", F.coalesce("top", "cls")).drop("top")
+    first = F.struct(F.col("least_id").isNull(), "least_id", "cls")
+    heads = placed.groupBy("root").agg(
+        F.min("least_id").alias("component_id"), F.min_by("first_row", first).alias("keeper")
+    )
+    return workspace.keep(
+        placed.join(workspace.keep(heads, "heads-of-all"), "root").select(
+            "set_a", "set_b", "n_shingles", "cls", "component_id", "keeper"
+        ),
+        "placed",
+    )
+
+
+def near_duplicates(docs: DataFrame, workspace: Workspace, how: Similarity = Similarity()) -> DataFrame:
+    """A row per row of ``docs`` (``doc_id``, ``text``): row_id, doc_id, n_shingles, set_id, component_id, kept.
+
+    ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks rows with that very id. Rows with one set are
+    one class (``set_id``) whatever their number; classes are compared, copies never. Null texts and texts without words have
+    an empty set and are linked with nothing. Null ids count as missing when the smallest is taken. Repeated rows are rows of
+    one class. Empty tables give empty results; other columns are not looked at.
+    """
+    base = _sketched(docs, workspace, how)
+    placed = _placed(base, workspace, how)
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
         base.select("row_id", "doc_id", "n_shingles", "set_a", "set_b")
-        .join(named, ["set_a", "set_b", "n_shingles"], "left")
+        .join(placed, ["set_a", "set_b", "n_shingles"], "left")
         .withColumn("component_id", component)
         .select(
             "row_id",
@@ -420,3 +444,12 @@ def near_duplicates(docs: DataFrame, workspace: Workspace, how: Similarity = Sim
         )
     )
 
+
+def one_of_each(docs: DataFrame, workspace: Workspace, how: Similarity = Similarity()) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that with the smallest doc_id, null ids last, and one of
+    several rows with that id. Rows without words are in no group and stay."""
+    base = _sketched(docs, workspace, how, docs.columns)
+    keepers = _placed(base, workspace, how).select(F.col("keeper").alias("row_id")).distinct()
+    own = base.select("row_id", "n_shingles", *[c for c in base.columns if c.startswith("in_")])
+    kept = own.where("n_shingles > 0").join(keepers, "row_id", "left_semi").unionByName(own.where("n_shingles = 0"))
+    return kept.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
