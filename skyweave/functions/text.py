@@ -11,16 +11,21 @@ CALLSIGN_PATTERN = "^[A-Z0-9]{2,8} *$"
 
 
 def compact_number(value: Column) -> Column:
-    """1234567 as ``1.2M``: as is below a thousand, then K, M and B with one decimal."""
-    size = F.abs(value)
+    """1234567 as ``1.2M``: as is below a thousand, then K, M and B with one decimal.
+
+    The unit is chosen after rounding, so 999,950 is ``1.0M``.
+    """
 
     def scaled(unit: float, suffix: str) -> Column:
         return F.concat(F.round(value / unit, 1).cast("string"), F.lit(suffix))
 
+    def fits(unit: float) -> Column:
+        return F.round(F.abs(value) / unit, 1) < 1000
+
     return (
-        F.when(size < 1e3, value.cast("string"))
-        .when(size < 1e6, scaled(1e3, "K"))
-        .when(size < 1e9, scaled(1e6, "M"))
+        F.when(F.abs(value) < 1000, value.cast("string"))
+        .when(fits(1e3), scaled(1e3, "K"))
+        .when(fits(1e6), scaled(1e6, "M"))
         .when(value.isNotNull(), scaled(1e9, "B"))
     )
 

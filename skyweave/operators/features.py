@@ -7,26 +7,23 @@ from pyspark.sql import functions as F
 
 from skyweave.sources.telemetry import KEY, ROW_ID
 
-# Features of one observation and of one aircraft.
+# Features of one observation.
 ROW_FEATURES = ["baro_altitude", "geo_altitude", "velocity", "true_track"]
-AIRCRAFT_FEATURES = [
-    "avg_velocity",
-    "max_baro_altitude",
-    "min_baro_altitude",
-    "avg_geo_altitude",
-    "num_state_vectors",
-]
 
+# How the features of one aircraft are made, as SQL aggregates.
+AIRCRAFT_MEASURES = {
+    "avg_velocity": "avg(velocity)",
+    "max_baro_altitude": "max(baro_altitude)",
+    "min_baro_altitude": "min(baro_altitude)",
+    "avg_geo_altitude": "avg(geo_altitude)",
+    "num_state_vectors": "CAST(count(*) AS DOUBLE)",
+}
+AIRCRAFT_FEATURES = list(AIRCRAFT_MEASURES)
 
-def entity_features(df: DataFrame, *extra_keys, key: str = KEY) -> DataFrame:
+
+def entity_features(df: DataFrame, *extra_keys, key: str = KEY, measures: dict[str, str] = AIRCRAFT_MEASURES) -> DataFrame:
     """Aggregate features per entity (and per extra key, such as a day)."""
-    return df.groupBy(key, *extra_keys).agg(
-        F.avg("velocity").alias("avg_velocity"),
-        F.max("baro_altitude").alias("max_baro_altitude"),
-        F.min("baro_altitude").alias("min_baro_altitude"),
-        F.avg("geo_altitude").alias("avg_geo_altitude"),
-        F.count(F.lit(1)).cast("double").alias("num_state_vectors"),
-    )
+    return df.groupBy(key, *extra_keys).agg(*[F.expr(text).alias(name) for name, text in measures.items()])
 
 
 def lookup(
@@ -42,10 +39,11 @@ def lookup(
     """Left join to a feature table with one row per key; an unknown key gets null features.
 
     Without ``row_id`` this is a plain join: Spark broadcasts a small feature table by its own size
-    check, and AQE splits skewed partitions. With ``row_id`` (something that differs between the
+    check, and AQE splits skewed partitions where both sides come straight from a scan, not where ``features`` is
+    an aggregate. With ``row_id`` (something that differs between the
     rows of a key) keys holding more than ``hot_share`` of all rows are spread over ``pieces`` tasks. There
     can be at most 1 / hot_share such keys, which bounds both the broadcast list and the copied
-    feature rows.
+    feature rows. Give it wherever the size of either side is unknown.
     """
     wanted = features.select(key, *names)
     if row_id is None:
@@ -90,6 +88,6 @@ def training_set(
     The key and everything that gives the label away stay out unless listed in ``keep``.
     """
     rows = df.select(key, row_id, *row_features, label)
-    joined = lookup(rows, features, key, feature_names)
+    joined = lookup(rows, features, key, feature_names, row_id=row_id)
     columns = [*row_features, *feature_names, label]
     return without_nulls(joined, columns).select(*keep, *columns)

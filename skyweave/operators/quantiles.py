@@ -1,19 +1,21 @@
-"""Exact percentiles in two passes with small shuffles."""
+"""Exact percentiles from counts, with small shuffles."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.operators import sequence
 from skyweave.operators.sequence import Slices, ordered_scan, plan_slices
 from skyweave.session import bounded_side, materialise
 
-ACCURACY = 10_000
-# Below this many values a group is ranked whole; above it the sketch's rank error is known to be
-# smaller than the margin taken around each percentile.
-WHOLE_GROUP = 2 * ACCURACY
-_MARGIN = 2.0 / ACCURACY
+# Parts a range of values is divided into at each look, and the number of looks.
+PARTS = 4_096
+LOOKS = 2
+# Below this many values a group is ranked whole.
+WHOLE_GROUP = 20_000
+
+_INF = float("inf")
 
 
 def exact_quantiles(
@@ -26,32 +28,32 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated percentiles q0, q1, ... and the row count, one row per (group, feature).
 
-    The first pass sketches every group and takes a narrow band of values that must contain each
-    percentile (and any further ``measures`` over ``value``). The second pass counts what lies below a band
-    and ranks only the values inside it, a few ten-thousandths of the input; repeats collapse on
-    the map side.
+    Counts per part of a group's range say in which part each percentile lies; a second look divides those
+    parts again. Both are hash aggregates, reduced on the map side. The last pass counts what lies below such a band and
+    ranks only the values inside it; repeats collapse on the map side too. ``measures`` are further aggregates over ``value``.
     """
     by = by or []
+    keys = [*by, "feature"]
     long = df.unpivot(by, columns, "feature", "value").where(F.col("value").isNotNull())
-    points = [max(0.0, p - _MARGIN) for p in probs] + [min(1.0, p + _MARGIN) for p in probs]
-    sketch = long.groupBy(*by, "feature").agg(
+    finite = F.when((F.col("value") > -_INF) & (F.col("value") < _INF), F.col("value"))
+    sizes = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_values"),
-        F.percentile_approx("value", points, ACCURACY).alias("__points"),
+        F.min(finite).alias("__low"),
+        F.max(finite).alias("__high"),
         *(measures or []),
     )
-    wide = F.col("n_values") <= WHOLE_GROUP
-
-    def edge(i: int, open_ended: bool) -> Column:
-        return F.lit(None).cast("double") if open_ended else F.when(~wide, F.col("__points")[i])
-
-    edges = sketch.select(
-        "*",
-        *[edge(i, p - _MARGIN <= 0).alias(f"__lo{i}") for i, p in enumerate(probs)],
-        *[edge(len(probs) + i, p + _MARGIN >= 1).alias(f"__hi{i}") for i, p in enumerate(probs)],
-    ).drop("__points")
-    keys = [*by, "feature"]
-    groups, rows = bounded_side(edges.withColumnsRenamed({k: f"__g_{k}" for k in keys}), "quantile-edges")
+    ends = [F.col("__low").alias(f"__lo{i}") for i in range(len(probs))]
+    ends += [F.col("__high").alias(f"__hi{i}") for i in range(len(probs))]
+    groups, rows = bounded_side(
+        sizes.select("*", *ends).drop("__low", "__high").withColumnsRenamed({k: f"__g_{k}" for k in keys}), "quantile-ends"
+    )
     values = sum(r.n_values for r in rows) if rows is not None else None
+    if rows is None or any(r.n_values > WHOLE_GROUP for r in rows):
+        for _ in range(LOOKS):
+            groups, _ = bounded_side(_narrowed(long, groups, keys, probs), "quantile-ends")
+    else:
+        opened = {f"__{side}{i}": F.lit(None).cast("double") for side in ("lo", "hi") for i in range(len(probs))}
+        groups = groups.withColumns(opened)
     ranked = _rank_bands(long, groups, keys, len(probs), values)
 
     def value_at(i: int, rank: Column) -> Column:
@@ -72,6 +74,54 @@ def exact_quantiles(
     return found.select(*keys, *kept, *outputs)
 
 
+def _narrowed(long: DataFrame, groups: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """``groups`` with each band cut down to the parts of it that hold the two ranks around its percentile."""
+    value = F.col("value")
+
+    def part(i: int) -> Column:
+        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        share = F.when(high > low, (value - low) / (high - low))
+        inside = F.least(F.floor(share * PARTS), F.lit(PARTS - 1))
+        return (
+            F.when(F.coalesce(value < low, F.lit(False)) | (value == -_INF), F.lit(-1))
+            .when(F.isnan(value) | (value == _INF) | F.coalesce(value > high, F.lit(True)), F.lit(PARTS))
+            .otherwise(F.coalesce(inside, F.lit(0)))
+        )
+
+    entries = F.array(*[F.struct(F.lit(i).alias("__band"), part(i).cast("int").alias("__part")) for i in range(len(probs))])
+    counted = (
+        long.join(groups, _same_group(keys))
+        .select(*keys, "value", F.inline(entries))
+        .groupBy(*keys, "__band", "__part")
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("value").alias("__least"), F.max("value").alias("__most"))
+    )
+    along = Window.partitionBy(*keys, "__band").orderBy("__part")
+    through = F.sum("__n").over(along)
+    probability = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__band") + 1)
+    placed = (
+        counted.withColumn("__through", through)
+        .join(groups.select(*[c for c in groups.columns if c.startswith("__g_")], "n_values"), _same_group(keys))
+        .withColumn("__position", probability * (F.col("n_values") - 1))
+    )
+
+    def holds(rank: Column) -> Column:
+        return (F.col("__through") > rank) & (F.col("__through") - F.col("__n") <= rank)
+
+    # Outside the finite range a band stays open: there are only infinities and NaN.
+    starts = F.when(holds(F.floor("__position")) & (F.col("__part") >= 0), F.col("__least"))
+    stops = F.when(holds(F.ceil("__position")) & (F.col("__part") < PARTS), F.col("__most"))
+    edges = placed.groupBy(*[F.col(f"__g_{k}") for k in keys]).agg(
+        *[F.min(F.when(F.col("__band") == i, starts)).alias(f"__lo{i}") for i in range(len(probs))],
+        *[F.max(F.when(F.col("__band") == i, stops)).alias(f"__hi{i}") for i in range(len(probs))],
+    )
+    old = groups.drop(*[f"__{side}{i}" for side in ("lo", "hi") for i in range(len(probs))])
+    renamed = edges.withColumnsRenamed({f"__g_{k}": f"__e_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"__g_{k}").eqNullSafe(F.col(f"__e_{k}"))
+    return old.join(renamed, same).drop(*[f"__e_{k}" for k in keys])
+
+
 def _same_group(keys: list[str]) -> Column:
     same = F.lit(True)
     for k in keys:

@@ -55,6 +55,13 @@ CURATED_RULES = (
     Rule("label_cols_not_null", present("vertical_rate", "on_ground"), "completeness"),
 )
 
+# The range limits alone, named after their columns.
+RANGE_RULES = tuple(
+    Rule(rule.name.removesuffix("_range"), rule.predicate, rule.category)
+    for rule in CURATED_RULES
+    if rule.name.endswith("_range")
+)
+
 # Silver table. Position rules drop; altitude and heading only warn and let null pass.
 # The speed and altitude limits of the drop set are our own choice.
 SILVER_DROP = (

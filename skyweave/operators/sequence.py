@@ -1,8 +1,8 @@
 """Ordered per-key computation that stays balanced when one key holds much of the data.
 
 A window partitioned by the key alone puts a hot key into one task. Here each key is also cut into
-slices along the ordering axis. The cut points are quantiles of the whole input, so no
-(key, slice) group can exceed about one slice's share of all rows, whatever the distribution of keys.
+slices along the ordering axis. The cut points come from counts over the whole input, so no
+(key, slice) group can exceed about ``TARGET_ROWS`` rows, whatever the distribution of keys.
 What a slice needs from earlier ones (the last row, running totals) is computed from one summary
 row per (key, slice) and enters the slice as an extra *carry row* that sorts first. Ordinary window
 functions then read it like any other row, and the big data is shuffled once.
@@ -13,6 +13,7 @@ cut a second time along the tie-break column.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TARGET_ROWS = 4_000_000
-MAX_SLICES = 4096
+# Parts a range of the axis is divided into at each look.
+_PARTS = 64
 
 _CARRY, _SLICE, _AXIS, _TIE = "__carry", "__slice", "__axis", "__tie"
 _INF = float("inf")
+_LARGEST = sys.float_info.max
 
 
 @dataclass(frozen=True)
@@ -41,52 +44,87 @@ class Slices:
 
 
 def _axis(df: DataFrame, column: str) -> Column:
-    """Monotone numeric image of an ordering column; nulls sort first, as in a window."""
-    kind = dict(df.dtypes)[column]
+    """Monotone numeric image of an ordering column; nulls sort first and NaN last, as in a window."""
+    kind = df.schema[column].dataType
     value = F.col(column)
-    if kind.startswith("timestamp"):
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         value = F.unix_micros(value.cast("timestamp"))
-    elif kind == "date":
+    elif isinstance(kind, T.DateType):
         value = F.unix_date(value)
-    return F.coalesce(value.cast("double"), F.lit(-_INF))
+    elif not isinstance(kind, T.NumericType):
+        raise TypeError(f"cannot order by {column}: {kind.simpleString()} is neither a number nor a date nor a timestamp")
+    value = value.cast("double")
+    return F.when(value.isNull(), F.lit(-_INF)).when(F.isnan(value), F.lit(_INF)).otherwise(value)
 
 
-def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
-    probs = [i / parts for i in range(1, parts)]
-    accuracy = max(1000, 4 * parts)
-    row = df.where(F.col(column) > -_INF).agg(F.percentile_approx(column, probs, accuracy)).first()
-    return row[0] or []
+def _cut_points(df: DataFrame, column: str, exact: str, target_rows: int) -> tuple[list[float], list[float]]:
+    """Cut points that leave at most about ``target_rows`` rows between them, and values that hold more by themselves.
+
+    Counts per part of the axis are one hash aggregate, reduced on the map side. Parts with too many rows are divided
+    again in the next look until they fit or hold one value of ``exact``. The driver gets a few numbers for each slice.
+    """
+    finite = df.where((F.col(column) > -_INF) & (F.col(column) < _INF))
+    ends = finite.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    if ends.low is None:
+        return [], []
+    splits = _divided(ends.low, ends.high)
+    while True:
+        parts = (
+            _bucketed(finite, column, tuple(splits), "__part")
+            .groupBy("__part")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min(column).alias("low"),
+                F.max(column).alias("high"),
+                (F.min(exact) == F.max(exact)).alias("one"),
+            )
+            .orderBy("__part")
+            .collect()
+        )
+        finer = {x for p in parts if p.n > target_rows and p.low < p.high for x in _divided(p.low, p.high)}
+        if finer <= set(splits):
+            break
+        splits = sorted({*splits, *finer, *(p.low for p in parts if p.n > target_rows)})
+    cuts, heavy, held = [], [], None
+    for p in parts:
+        if held is None or held + p.n > target_rows:
+            cuts.append(p.low)
+            held = 0
+        held += p.n
+        if p.n > target_rows and p.one:
+            heavy.append(p.low)
+    return cuts, heavy
+
+
+def _divided(low: float, high: float) -> list[float]:
+    """Points that divide a range evenly, its upper end included, as far as numbers lie between."""
+    points = {low + (high - low) * (i / _PARTS) for i in range(1, _PARTS + 1)}
+    return sorted(x for x in points | {high} if low < x <= high)
 
 
 def plan_slices(df: DataFrame, order: str, tie: str | None = None, target_rows: int | None = None) -> Slices:
-    """Choose the cut points for ``df``.
+    """Choose the cut points for ``df``; runs jobs on it.
 
-    Small inputs cost one count. Beyond ``target_rows`` (``TARGET_ROWS`` by
-    default) one more pass reads the ordering column and
-    returns at most ``MAX_SLICES`` numbers to the driver.
+    Small inputs cost one count. Beyond ``target_rows`` (``TARGET_ROWS`` by default) a few aggregates over the ordering column
+    follow. The number of slices is rows / ``target_rows``, without a limit. To plan once for several
+    scans, or to keep jobs out of a plan, pass the result as ``slices``.
     """
     target_rows = target_rows or TARGET_ROWS
-    axis = df.select(_axis(df, order).alias(_AXIS), *([_axis(df, tie).alias(_TIE)] if tie else []))
+    axis = df.select(
+        F.col(order).alias("__order"),
+        _axis(df, order).alias(_AXIS),
+        *([F.col(tie).alias("__by"), _axis(df, tie).alias(_TIE)] if tie else []),
+    )
     size = axis.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(_AXIS) == -_INF).alias("unplaced")).first()
     if size.rows <= target_rows:
         return Slices()
-    parts = min(MAX_SLICES, -(-size.rows // target_rows))
-    points = _quantiles(axis, _AXIS, parts)
-    cuts = tuple(sorted(set(points)))
-    if not tie:
-        return Slices(cuts)
-    # An instant that fills two neighbouring quantiles holds a slice's worth of rows by itself; one
-    # that is not found this way stays below two slices' worth.
-    repeated = {a for a, b in zip(points, points[1:]) if a == b}
-    if len(points) == 1:
-        repeated.add(points[0])
-    if size.unplaced * parts > size.rows:
-        repeated.add(-_INF)
-    if not repeated:
-        return Slices(cuts)
-    heavy = tuple(sorted(repeated))
-    crowd = axis.where(F.col(_AXIS).isin(list(heavy)))
-    return Slices(cuts, heavy, tuple(sorted(set(_quantiles(crowd, _TIE, parts)))))
+    cuts, heavy = _cut_points(axis, _AXIS, "__order", target_rows)
+    if size.unplaced > target_rows:
+        heavy.append(-_INF)
+    if not tie or not heavy:
+        return Slices(tuple(cuts))
+    crowd = axis.where(F.col(_AXIS).isin(heavy))
+    return Slices(tuple(cuts), tuple(sorted(heavy)), tuple(_cut_points(crowd, _TIE, "__by", target_rows)[0]))
 
 
 def _bucketed(df: DataFrame, column: str, cuts: tuple[float, ...], out: str) -> DataFrame:
@@ -276,21 +314,29 @@ def as_of(
 ) -> DataFrame:
     """Each row with the newest version strictly older than it; rows without one get nulls.
 
-    ``versions`` holds at most one row per (key, instant) and ``row_id`` is a number. Both sides are
-    laid on one time axis and scanned once, so no row meets more than one version.
+    ``versions`` holds at most one row per (key, instant) and ``row_id`` is a number, which may be null. Both sides are
+    laid on one time axis and scanned once, so no row meets more than one version. Rows without a time have no version.
     """
-    # At equal times facts sort before versions, which makes the match strict.
-    facts = rows.select("*", F.col(row_ts).alias("__at"), F.col(row_id).cast("double").alias("__rank"))
-    offers = versions.select(
+    # At equal times facts sort before versions, which makes the match strict. What is a fact is marked, not told
+    # by its rank, which may be anything.
+    rank = F.col(row_id).cast("double")
+    facts = rows.select(
+        "*",
+        F.col(row_ts).alias("__at"),
+        F.when(F.isnan(rank) | (rank == _INF), F.lit(_LARGEST)).otherwise(rank).alias("__rank"),
+        F.lit(True).alias("__fact"),
+    )
+    offers = versions.where(F.col(version_ts).isNotNull()).select(
         *keys,
         F.col(version_ts).alias("__at"),
         F.lit(_INF).alias("__rank"),
+        F.lit(False).alias("__fact"),
         F.struct(*values).alias("__version"),
     )
     both = facts.unionByName(offers, allowMissingColumns=True)
     if slices is None:
         slices = plan_slices(both, "__at", "__rank")
     scanned = ordered_scan(both, keys, "__at", "__rank", latest={"__match": F.col("__version")}, slices=slices)
-    return scanned.where(F.col("__rank") < _INF).select(
+    return scanned.where("__fact").select(
         *rows.columns, *[F.col("__match").getField(v).alias(v) for v in values]
     )

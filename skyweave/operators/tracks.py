@@ -56,8 +56,8 @@ def busiest(df: DataFrame, key: str = KEY, n: int = 120) -> DataFrame:
 
 
 def tracks_of(df: DataFrame, chosen: DataFrame, key: str = KEY) -> DataFrame:
-    """All rows of a short list of keys. The list comes out of a limit, so broadcasting it is safe."""
-    return df.join(F.broadcast(chosen.select(key)), key, "left_semi")
+    """All rows of the chosen keys. Spark broadcasts the list by its own size check; it may be any length."""
+    return df.join(chosen.select(key), key, "left_semi")
 
 
 def chronological(
@@ -154,10 +154,15 @@ def segments(
     if slices is None:
         slices = plan_slices(df, ts, row_id)
     stepped = ordered_scan(df, [key], ts, row_id, previous={"__ts": F.col(ts)}, slices=slices)
-    gap = _micros(F.col(ts)) - _micros(F.col("__ts"))
-    flagged = stepped.withColumn(
-        "__new", F.when(F.col("__ts").isNull() | (gap >= gap_seconds * 1_000_000), 1).otherwise(0)
-    ).drop("__ts")
+    gap = (_micros(F.col(ts)) - _micros(F.col("__ts"))) / 1e6
+    return _numbered(stepped.withColumn("__gap", gap).drop("__ts"), "__gap", gap_seconds, key, ts, row_id, slices).drop("__gap")
+
+
+def _numbered(
+    df: DataFrame, gap: str, gap_seconds: int, key: str, ts: str, row_id: str, slices: Slices
+) -> DataFrame:
+    """Number the flights where the seconds since the previous row are known already."""
+    flagged = df.withColumn("__new", F.when(F.col(gap).isNull() | (F.col(gap) >= gap_seconds), 1).otherwise(0))
     if not slices.single:
         # Two branches read the flags; a written copy keeps the first scan from running twice.
         flagged = materialise(flagged, "segment-flags")
@@ -179,7 +184,8 @@ def segment_routes(
     if slices is None:
         slices = plan_slices(known, ts, row_id)
     stepped = steps(known, key, ts, row_id, slices)
-    numbered = segments(stepped, gap_seconds, key, ts, row_id, slices)
+    slim = stepped.select(key, ts, row_id, "step_m", "step_s")
+    numbered = _numbered(slim, "step_s", gap_seconds, key, ts, row_id, slices)
     inside = F.when(F.col("step_s") < gap_seconds, F.col("step_m")).cast(EXACT)
     return numbered.groupBy(key, "segment").agg(
         F.min(ts).alias("start_ts"),

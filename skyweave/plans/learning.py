@@ -1,7 +1,7 @@
 """Distributed classification: candidates, comparison, versions, scoring.
 
-Training data is a bounded sample written once to the shared folder; fitting and scoring stay in the
-JVM, and scoring never leaves DataFrames.
+Models are fitted on a bounded sample of the training part; everything else, evaluation and scoring, covers all rows.
+Fitting and scoring stay in the JVM, and scoring never leaves DataFrames.
 """
 
 from __future__ import annotations
@@ -15,20 +15,25 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.operators.evaluate import class_weights, macro_f1
+from skyweave.operators.evaluate import best_candidate, class_weights, macro_f1
 from skyweave.operators.features import lookup
 from skyweave.session import ensure_checkpoint_dir
 
-# Names and settings of the candidates, and the sample sizes and seeds.
+# Names and settings of the candidates, the most rows a model is fitted on, and the seed of that sample.
 LOGISTIC, FOREST, BOOSTING = "logistic_regression", "random_forest", "hist_gradient_boosting"
 FOREST_TREES, FOREST_DEPTH = 200, 16
 BOOSTING_ROUNDS, BOOSTING_RATE = 200, 0.1
-TRAIN_ROWS, EVALUATION_ROWS, SCORE_ROWS = 200_000, 50_000, 500_000
-TRAIN_SEED, EVALUATION_SEED, SCORE_SEED = 42, 99, 7
+TRAIN_ROWS, TRAIN_SEED = 200_000, 42
+
+SETTINGS = {
+    LOGISTIC: {"penalty": "l2", "class_weight": "balanced"},
+    FOREST: {"trees": FOREST_TREES, "depth": FOREST_DEPTH, "class_weight": "balanced"},
+    BOOSTING: {"rounds": BOOSTING_ROUNDS, "rate": BOOSTING_RATE, "class_weight": "balanced"},
+}
 
 LABEL = "flight_phase"
 ROWS_PER_PARTITION = 20_000
@@ -68,14 +73,22 @@ def fit(
     label: str = LABEL,
     rounds: int = BOOSTING_ROUNDS,
 ) -> PipelineModel:
-    """Fit one candidate. The result adds ``flight_phase_pred`` to any DataFrame with the features."""
+    """Fit one candidate. The result adds ``flight_phase_pred`` to any DataFrame with the features.
+
+    A feature that is null or NaN when a row is scored counts as the median of the training rows, so that a row with
+    an unknown key is judged by the features it has.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     indexer = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc").fit(train)
     rows = train.count()
     # Tree fitting starts many short jobs; partitions below this size cost more than they save.
     spread = train.repartition(1 + rows // ROWS_PER_PARTITION)
     prepared = indexer.transform(weighted(spread, label)).select(*features, "label_index", "class_weight").persist()
-    stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")]
+    filled = [f"__{f}" for f in features]
+    stages = [
+        Imputer(strategy="median", inputCols=features, outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol="features"),
+    ]
     if candidate == LOGISTIC:
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True))
     stages.append(_estimator(candidate, rows, rounds))
@@ -87,9 +100,8 @@ def fit(
 
 
 def score(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Add the predicted label; works on batch and streaming input alike."""
-    helpers = ["features", "scaled", "rawPrediction", "probability", "prediction"]
-    return model.transform(df).drop(*helpers)
+    """Add the predicted label to every row; works on batch and streaming input alike."""
+    return model.transform(df).select(*df.columns, f"{label}_pred")
 
 
 def gold_predictions(
@@ -117,7 +129,10 @@ def compare(predictions: dict[str, DataFrame], label: str = LABEL) -> DataFrame:
 
 
 class ModelTable:
-    """Model versions, their movable aliases and run records as append-only tables."""
+    """Model versions, their movable aliases and run records as append-only tables.
+
+    A version may have the folder its fitted model is in; ``load`` opens the one an alias points to.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -130,8 +145,34 @@ class ModelTable:
         return self.spark.read.parquet(f"{self.root}/{table}")
 
     def register(self, models: DataFrame) -> None:
-        """Add versions: columns model, version, candidate, macro_f1."""
-        self._append("versions", models.select("model", "version", "candidate", "macro_f1"))
+        """Add versions: columns model, version, candidate, macro_f1 and, for fitted models, path."""
+        path = F.col("path") if "path" in models.columns else F.lit(None).cast("string").alias("path")
+        self._append("versions", models.select("model", "version", "candidate", "macro_f1", path))
+
+    def store(self, name: str, fits: dict[str, PipelineModel], scores: DataFrame) -> DataFrame:
+        """Save fitted candidates as versions 1, 2, ... in the order of their names, with their scores and run records."""
+        rows, records = [], []
+        for number, candidate in enumerate(sorted(fits), start=1):
+            path = f"{self.root}/models/{name}/{number}"
+            fits[candidate].write().overwrite().save(path)
+            rows.append((name, number, candidate, path))
+            records += [(candidate, "param", k, str(v)) for k, v in SETTINGS[candidate].items()]
+        versions = self.spark.createDataFrame(rows, "model string, version bigint, candidate string, path string")
+        self.register(versions.join(scores, "candidate"))
+        metrics = scores.select(
+            F.col("candidate").alias("run"), F.lit("metric").alias("kind"), F.lit("macro_f1").alias("name"),
+            F.col("macro_f1").cast("string").alias("value"),
+        )
+        self.log_runs(metrics)
+        self.log_runs(self.spark.createDataFrame(records, "run string, kind string, name string, value string"))
+        return self._read("versions").where(F.col("model") == name)
+
+    def load(self, name: str, alias: str) -> tuple[PipelineModel, str]:
+        """The fitted model an alias points to, and the name of its candidate."""
+        found = self.resolve().where((F.col("model") == name) & (F.col("alias") == alias)).first()
+        if found is None or found.path is None:
+            raise LookupError(f"no fitted model {name}@{alias}")
+        return PipelineModel.load(found.path), found.candidate
 
     def point(self, alias: str, targets: DataFrame, move: int) -> None:
         """Move an alias: columns model, version. The highest move wins."""
@@ -155,6 +196,13 @@ class ModelTable:
         return current.join(self._read("versions"), ["model", "version"])
 
 
+def promote(registry: ModelTable, name: str, move: int, alias: str = "prod") -> DataFrame:
+    """Point an alias at the best version by macro-F1; a tie goes to the first candidate by name."""
+    best = best_candidate(registry._read("versions").where(F.col("model") == name))
+    registry.point(alias, best, move)
+    return registry.resolve()
+
+
 def save_with_lookup(
     model: PipelineModel, path: str, *, table: str, key: str, names: list[str]
 ) -> None:
@@ -165,9 +213,13 @@ def save_with_lookup(
     spark.createDataFrame([(spec,)], "spec string").coalesce(1).write.mode("overwrite").text(f"{path}/lookup")
 
 
-def score_with_lookup(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    """Load a stored model, add the features it asks for, and score. Unknown keys get null features."""
+def score_with_lookup(spark: SparkSession, path: str, df: DataFrame, row_id: str | None = None) -> DataFrame:
+    """Load a stored model, add the features it asks for, and score.
+
+    Unknown keys get null features, which the model replaces by its training medians when it scores. ``row_id`` lets
+    the lookup spread the rows of a hot key.
+    """
     spec = json.loads(spark.read.text(f"{path}/lookup").first().value)
     features = spark.read.parquet(spec["table"])
-    joined = lookup(df, features, spec["key"], spec["names"])
+    joined = lookup(df, features, spec["key"], spec["names"], row_id=row_id)
     return score(PipelineModel.load(f"{path}/model"), joined)

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from skyweave.functions.text import minute_of_day
 from skyweave.operators.regions import BANDS, regional_summary, route
-from skyweave.operators.rules import SILVER_DROP, SILVER_WARN, flag_failures, keep_passing
+from skyweave.operators.rules import SILVER_DROP, SILVER_WARN, flag_failures, keep_passing, observe_expectations
 from skyweave.session import scratch_path
 from skyweave.sources.sinks import overwrite
 from skyweave.sources.telemetry import TIME, to_state_vectors
 from skyweave.streaming.run import file_stream, to_table
 
 
+# Name under which the silver stream reports its expectation counters.
+COUNTERS = "expectations"
+
+
 def time_range(start: str, end: str, ts: str = TIME) -> Column:
     """Half-open range of instants; compares the stored column itself so the filter can be pushed."""
     return (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz"))
@@ -35,6 +39,7 @@ class Medallion:
     silver: str
     gold: str
     summary: str
+    expectations: str
 
 
 def build(
@@ -49,18 +54,21 @@ def build(
 
     Bronze and silver are streams with their own checkpoints: a second run on the same root only
     processes new files. Gold is partitioned by region, so a regional reader touches one folder, and
-    gold and the summary are recomputed from silver.
+    gold and the summary are recomputed from silver. The silver stream counts its expectations as a by-product; the
+    counters of each batch are kept as a table.
     """
     root = root or scratch_path(spark, "medallion")
-    tables = Medallion(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/summary")
+    tables = Medallion(*[f"{root}/{name}" for name in ("bronze", "silver", "gold", "summary", "expectations")])
 
     raw = to_state_vectors(file_stream(spark, source))
     to_table(raw if scope is None else raw.where(scope), tables.bronze, f"{root}/checkpoints/bronze")
 
     schema = raw.schema
     bronze = spark.readStream.schema(schema).parquet(tables.bronze)
-    cleaned = flag_failures(keep_passing(bronze, SILVER_DROP), SILVER_WARN)
-    to_table(cleaned, tables.silver, f"{root}/checkpoints/silver")
+    counted = observe_expectations(bronze, COUNTERS, SILVER_DROP + SILVER_WARN)
+    cleaned = flag_failures(keep_passing(counted, SILVER_DROP), SILVER_WARN)
+    progress = to_table(cleaned, tables.silver, f"{root}/checkpoints/silver").recentProgress
+    _store_counters(spark, progress, tables.expectations)
 
     silver = spark.read.schema(cleaned.schema).parquet(tables.silver)
     overwrite(route(silver, mode), tables.gold, ["region"])
@@ -68,6 +76,23 @@ def build(
     return tables
 
 
+def _store_counters(spark: SparkSession, progress: list, path: str) -> None:
+    """Write the counters each batch of the silver stream came with, one small folder per batch."""
+    schema = "rule string, passed bigint, failed bigint"
+    for batch in progress:
+        seen = batch["observedMetrics"].get(COUNTERS)
+        if not batch["numInputRows"] or seen is None:
+            continue
+        rows = [(r.name, seen[r.name], seen["rows"] - seen[r.name]) for r in SILVER_DROP + SILVER_WARN]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch['batchId']}")
+
+
+def read_expectations(spark: SparkSession, tables: Medallion) -> DataFrame:
+    """Rows of bronze that passed and failed each expectation, over all runs."""
+    stored = spark.read.schema("rule string, passed bigint, failed bigint, batch bigint").parquet(tables.expectations)
+    return stored.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 def read_gold(spark: SparkSession, tables: Medallion, like: DataFrame | None = None) -> DataFrame:
     """All regional gold tables with their region."""
     reader = spark.read

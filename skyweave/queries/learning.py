@@ -1,4 +1,8 @@
-"""Fitted models over the curated rows. Row checks only: the models have no SQL form."""
+"""Fitted models over the curated rows.
+
+All rows are split by hash first. Only the rows models are fitted on are capped; reports and scores cover all others. What a model
+predicts has no SQL form: for the scoring queries SQL checks every other column and that each row has one of the labels.
+"""
 
 from __future__ import annotations
 
@@ -6,43 +10,42 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyweave.functions.labels import PHASES
 from skyweave.operators import evaluate, features, sampling
 from skyweave.operators.features import AIRCRAFT_FEATURES, ROW_FEATURES
 from skyweave.plans import learning
-from skyweave.queries.base import curated, query
+from skyweave.queries.base import CURATED, curated, query
 from skyweave.session import materialise, scratch_path
 from skyweave.sources.sinks import keyed_table, overwrite
 
 LABEL = learning.LABEL
-
-# Where the models fitted in this session are, so that scoring queries do not fit again.
-_stored: dict[tuple, str] = {}
+MODEL = "flight_phase_model"
 
 
 def parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out rows: a bounded stratified sample, split by hash, written once."""
+    """Rows to fit on and held-out rows: all curated rows split by hash, then a bounded sample of the training part."""
     rows = curated(spark, folder).select("event_id", "icao24", *ROW_FEATURES, LABEL)
-    sampled = sampling.stratified_sample(rows, LABEL, learning.TRAIN_ROWS, learning.TRAIN_SEED)
-    marked = materialise(sampling.split(sampled, LABEL), "training-sample")
-    return marked.where(F.col("part") == "train"), marked.where(F.col("part") == "test")
+    marked = materialise(sampling.split(rows, LABEL), "split-rows")
+    train = marked.where(F.col("part") == "train")
+    sample = sampling.stratified_sample(train, LABEL, learning.TRAIN_ROWS, learning.TRAIN_SEED)
+    return materialise(sample, "training-sample"), marked.where(F.col("part") == "test")
 
 
 def fitted(spark: SparkSession, folder: str, candidate: str) -> tuple[PipelineModel, DataFrame]:
-    """The model of a candidate and its held-out rows."""
-    key = (spark.sparkContext.applicationId, folder)
-    if ("parts", *key) not in _stored:
-        train, test = parts(spark, folder)
-        path = scratch_path(spark, "model-input")
-        overwrite(train, f"{path}/train")
-        overwrite(test, f"{path}/test")
-        _stored[("parts", *key)] = path
-    path = _stored[("parts", *key)]
-    if (candidate, *key) not in _stored:
-        model = learning.fit(candidate, spark.read.parquet(f"{path}/train"), ROW_FEATURES)
-        target = scratch_path(spark, f"model-{candidate}")
-        model.write().overwrite().save(target)
-        _stored[(candidate, *key)] = target
-    return PipelineModel.load(_stored[(candidate, *key)]), spark.read.parquet(f"{path}/test")
+    """The model of a candidate, fitted now, and the held-out rows."""
+    train, held_out = parts(spark, folder)
+    return learning.fit(candidate, train, ROW_FEATURES), held_out
+
+
+def registered(spark: SparkSession, folder: str, candidates=(learning.LOGISTIC, learning.FOREST)) -> learning.ModelTable:
+    """A registry of fitted candidates, judged on all held-out rows, with ``prod`` at the best."""
+    train, held_out = parts(spark, folder)
+    fits = {c: learning.fit(c, train, ROW_FEATURES) for c in candidates}
+    scores = materialise(learning.compare({c: learning.score(m, held_out) for c, m in fits.items()}, LABEL), "scores")
+    registry = learning.ModelTable(spark, scratch_path(spark, "registry"))
+    registry.store(MODEL, fits, scores)
+    learning.promote(registry, MODEL, 1)
+    return registry
 
 
 def _report(spark, folder, candidate):
@@ -67,32 +70,73 @@ def ml_boosting(spark, folder):
 
 @query("ml_compare")
 def ml_compare(spark, folder):
-    predictions = {}
-    for candidate in (learning.LOGISTIC, learning.FOREST, learning.BOOSTING):
-        model, held_out = fitted(spark, folder, candidate)
-        predictions[candidate] = learning.score(model, held_out)
-    scores = learning.compare(predictions, LABEL)
-    best = scores.agg(F.max_by("candidate", F.struct("macro_f1", "candidate"))).scalar()
-    return scores.withColumn("is_best", F.col("candidate") == best)
+    train, held_out = parts(spark, folder)
+    candidates = (learning.LOGISTIC, learning.FOREST, learning.BOOSTING)
+    predictions = {c: learning.score(learning.fit(c, train, ROW_FEATURES), held_out) for c in candidates}
+    scores = materialise(learning.compare(predictions, LABEL), "candidate-scores")
+    best = evaluate.best_candidate(scores).select("candidate", F.lit(True).alias("is_best"))
+    return scores.join(best, "candidate", "left").withColumn("is_best", F.coalesce("is_best", F.lit(False)))
+
+
+_LABELS = ", ".join(f"'{p}'" for p in sorted(PHASES))
+_BUCKET = "('0x' || substr(md5(concat(flight_phase, '|', CAST(event_id AS VARCHAR), '|42')), 1, 8))::BIGINT"
 
 
-@query("batch_score")
+def _known(predicted: str):
+    return F.coalesce(F.col(predicted).isin(*PHASES), F.lit(False)).alias("has_label")
+
+
+@query(
+    "batch_score",
+    f"""{CURATED} SELECT event_id, icao24, baro_altitude, geo_altitude, velocity, true_track,
+    flight_phase AS flight_phase_actual, true AS has_label, true AS is_stamped FROM cur""",
+)
 def batch_score(spark, folder):
-    model, _ = fitted(spark, folder, learning.FOREST)
-    rows = sampling.uniform_sample(curated(spark, folder), learning.SCORE_ROWS, learning.SCORE_SEED)
-    return learning.gold_predictions(model, rows, ["icao24", *ROW_FEATURES])
+    model, _ = registered(spark, folder).load(MODEL, "prod")
+    gold = learning.gold_predictions(model, curated(spark, folder), ["event_id", "icao24", *ROW_FEATURES])
+    written = overwrite(gold, scratch_path(spark, "predictions"))
+    return written.select(
+        *written.columns[:-2], _known(f"{LABEL}_pred"), F.col("scored_at").isNotNull().alias("is_stamped")
+    )
 
 
-@query("score_with_lookup")
+@query(
+    "alias_move",
+    """SELECT 'before' AS step, 'prod' AS alias, 'random_forest' AS candidate UNION ALL
+    SELECT 'after', 'prod', 'logistic_regression'""",
+)
+def alias_move(spark, folder):
+    """An alias decides what scores: after it has moved, another model labels the same rows."""
+    registry = registered(spark, folder)
+    versions = registry._read("versions")
+    rows = materialise(curated(spark, folder).select("event_id", *ROW_FEATURES), "rows-to-score")
+    steps, scored = [], {}
+    for move, (step, candidate) in enumerate((("before", learning.FOREST), ("after", learning.LOGISTIC)), start=2):
+        registry.point("prod", versions.where(F.col("candidate") == candidate), move)
+        model, found = registry.load(MODEL, "prod")
+        steps.append((step, "prod", found))
+        scored[step] = learning.score(model, rows).select("event_id", F.col(f"{LABEL}_pred").alias(step))
+    changed = scored["before"].join(scored["after"], "event_id").where("before <> after")
+    if changed.isEmpty():
+        raise AssertionError("both models give the same labels")
+    return spark.createDataFrame(steps, "step string, alias string, candidate string")
+
+
+@query(
+    "score_with_lookup",
+    f"""{CURATED} SELECT event_id, icao24, flight_phase, true AS has_label FROM cur WHERE {_BUCKET} % 100 >= 80
+    UNION ALL SELECT event_id, 'ffffff', flight_phase, true FROM cur WHERE {_BUCKET} % 100 >= 80""",
+)
 def score_with_lookup(spark, folder):
     root = scratch_path(spark, "lookup-model")
-    rows = curated(spark, folder)
-    table = keyed_table(features.entity_features(rows), f"{root}/features", ["icao24"])
+    table = keyed_table(features.entity_features(curated(spark, folder)), f"{root}/features", ["icao24"])
     train, held_out = parts(spark, folder)
     made = features.training_set(train, table, "icao24", AIRCRAFT_FEATURES, ROW_FEATURES, LABEL)
-    model = learning.fit(learning.LOGISTIC, materialise(made, "lookup-training"), ROW_FEATURES + AIRCRAFT_FEATURES)
+    model = learning.fit(learning.FOREST, materialise(made, "lookup-training"), ROW_FEATURES + AIRCRAFT_FEATURES)
     learning.save_with_lookup(
         model, f"{root}/model", table=f"{root}/features", key="icao24", names=AIRCRAFT_FEATURES
     )
-    scored = learning.score_with_lookup(spark, f"{root}/model", held_out)
-    return scored.select("event_id", "icao24", LABEL, f"{LABEL}_pred")
+    # Every held-out row a second time, as of an aircraft nobody knows.
+    strangers = held_out.withColumn("icao24", F.lit("ffffff"))
+    scored = learning.score_with_lookup(spark, f"{root}/model", held_out.unionByName(strangers), "event_id")
+    return scored.select("event_id", "icao24", LABEL, _known(f"{LABEL}_pred"))

@@ -57,7 +57,7 @@ def feature_summary_lineitem(spark, folder):
     max(longitude) AS lon_max, min(time_position) AS ts_min, max(time_position) AS ts_max FROM cur""",
 )
 def extents(spark, folder):
-    return profile.extents(curated(spark, folder))
+    return profile.extents(curated(spark, folder), {"lat": "latitude", "lon": "longitude", "ts": "time_position"})
 
 
 @query("per_minute", f"{CURATED} SELECT strftime(time_position, '%H:%M') AS minute, count(*) AS n_rows FROM cur GROUP BY 1")

@@ -6,7 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from skyweave.operators import rules
-from skyweave.operators.profile import CHECK_COLUMNS, missing_profile, null_counts, range_issues
+from skyweave.operators.profile import CHECK_COLUMNS, missing_profile, null_counts, out_of_range
 from skyweave.plans.medallion import time_range
 from skyweave.queries.base import SILVER, SILVER_KEEP, SV, query
 from skyweave.session import scratch_path
@@ -94,7 +94,7 @@ def missing_profile_query(spark, folder):
     CAST(sum(CAST(true_track < 0 OR true_track >= 360 AS INT)) AS BIGINT) AS true_track_out_of_range FROM sv""",
 )
 def range_issues_query(spark, folder):
-    return range_issues(state_vectors(spark, folder))
+    return out_of_range(state_vectors(spark, folder), rules.RANGE_RULES)
 
 
 @query(

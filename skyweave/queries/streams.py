@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyweave.functions.labels import flight_phase
+from skyweave.functions.labels import PHASES, flight_phase
 from skyweave.operators.rules import CURATED_RULES, SILVER_DROP, SILVER_WARN, keep_passing
 from skyweave.plans import learning
-from skyweave.queries.base import SILVER, SV, query
-from skyweave.queries.learning import fitted
+from skyweave.queries.base import CURATED, PHASE, RULE_CLASS, SILVER, SV, query
+from skyweave.queries.learning import MODEL, registered
 from skyweave.queries.quality import _EXPECT
 from skyweave.session import scratch_path
-from skyweave.sources import replay
-from skyweave.sources.telemetry import events_path, table, to_state_vectors
+from skyweave.queries.sources import prediction_log, rule_class
+from skyweave.sources import sinks
+from skyweave.sources.telemetry import events_path, state_vectors, table, to_state_vectors
 from skyweave.streaming import run, tables, windows
 
 DELAY = "1 hour"
@@ -36,14 +37,6 @@ def stream_file_ingest(spark, folder):
     return run.drain(_events(spark, folder), "ingest")
 
 
-@query("stream_replay_source", "SELECT * FROM events")
-def stream_replay_source(spark, folder):
-    replay.register(spark)
-    path = f"{folder}/events.parquet"
-    stream = spark.readStream.format("replay").schema(spark.read.parquet(path).schema).option("path", path).load()
-    return run.drain(stream, "replay")
-
-
 @query("append_flow", "SELECT event_id, ts, user_id, value FROM events")
 def append_flow(spark, folder):
     events = table(spark, folder, "events").select("event_id", "ts", "user_id", "value")
@@ -106,22 +99,24 @@ def stream_sessions(spark, folder):
 )
 def stream_latest(spark, folder):
     columns = ["icao24", "event_id", "time_position", "latitude", "longitude"]
-    return tables.latest_positions(_vectors(spark, folder).select(*columns))
+    return tables.latest_positions(_vectors(spark, folder).select(*columns), scratch_path(spark, "latest"))
 
 
 @query("stream_dedupe", f"{SV} SELECT event_id, icao24, time_position FROM sv")
 def stream_dedupe(spark, folder):
-    once = _timed(spark, folder).select("event_id", "icao24", "time_position")
+    once = _vectors(spark, folder).select("event_id", "icao24", "time_position")
     replayed = once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("copy")
-    return run.zone_free(run.drain(windows.without_repeats(replayed, "event_id"), "dedupe"))
+    timed = run.event_time(windows.thinned(replayed, "event_id"), "time_position", DELAY)
+    return run.zone_free(run.drain(windows.without_repeats(timed, "event_id"), "dedupe"))
 
 
-@query("stream_score")
+@query("stream_score", f"{CURATED} SELECT event_id, icao24, flight_phase, true AS has_label FROM cur")
 def stream_score(spark, folder):
-    model, _ = fitted(spark, folder, learning.FOREST)
+    model, _ = registered(spark, folder).load(MODEL, "prod")
     rows = keep_passing(_vectors(spark, folder), CURATED_RULES).withColumn("flight_phase", flight_phase())
     scored = learning.score(model, rows).select("event_id", "icao24", "flight_phase", "flight_phase_pred")
-    return run.drain(scored, "scored")
+    labelled = F.coalesce(F.col("flight_phase_pred").isin(*PHASES), F.lit(False))
+    return run.drain(scored, "scored").select("event_id", "icao24", "flight_phase", labelled.alias("has_label"))
 
 
 @query(
@@ -133,4 +128,44 @@ def stream_score(spark, folder):
     ),
 )
 def stream_expectations(spark, folder):
-    return tables.expectation_counters(_vectors(spark, folder), SILVER_DROP + SILVER_WARN)
+    return tables.expectation_counters(
+        _vectors(spark, folder), SILVER_DROP + SILVER_WARN, scratch_path(spark, "expectations")
+    )
+
+
+@query(
+    "stream_append_log",
+    f"""{SV} SELECT sha256(concat('{{"event_id":"', event_id, '","icao24":"', icao24, '"}}')) AS id, event_id, icao24,
+    {RULE_CLASS} AS predicted_phase FROM sv WHERE velocity IS NOT NULL""",
+)
+def stream_append_log(spark, folder):
+    root = scratch_path(spark, "stream-log")
+
+    def prepare(batch):
+        records = prediction_log(batch).select("event_id", "icao24", "predicted_phase")
+        return sinks.with_record_id(records, ["event_id", "icao24"])
+
+    # The second run finds nothing new and adds nothing.
+    tables.append_batches(_vectors(spark, folder), prepare, root)
+    return tables.append_batches(_vectors(spark, folder), prepare, root)
+
+
+@query(
+    "feedback_append",
+    f"""{SV} SELECT sha256(concat('{{"prediction_id":"', event_id, '"}}')) AS id, event_id AS prediction_id,
+    ({PHASE}) = ({RULE_CLASS}) AS is_correct, {PHASE} AS correct_phase FROM sv
+    WHERE vertical_rate IS NOT NULL AND velocity IS NOT NULL""",
+)
+def feedback_append(spark, folder):
+    """Feedback on logged predictions, delivered twice; feedback on predictions nobody logged is refused."""
+    path = scratch_path(spark, "feedback")
+    seen = state_vectors(spark, folder).where(F.col("vertical_rate").isNotNull())
+    feedback = seen.select(
+        F.col("event_id").alias("prediction_id"),
+        (flight_phase() == rule_class()).alias("is_correct"),
+        flight_phase().alias("correct_phase"),
+    )
+    log = prediction_log(state_vectors(spark, folder)).select(F.col("event_id").alias("prediction_id"))
+    known = feedback.join(log, "prediction_id", "left_semi")
+    sinks.append_log(known, path, ["prediction_id"])
+    return sinks.append_log(known, path, ["prediction_id"])

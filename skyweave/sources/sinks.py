@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,13 +18,53 @@ def _gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a path: the path itself and the file system it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if there is one."""
+    place, system = _files(spark, path)
+    system.delete(place, True)
+
+
+def switch(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of another one.
+
+    The old folder is set aside first and put back should the renaming fail, so a table is missing only between two renames.
+    """
+    new, system = _files(spark, fresh)
+    old, _ = _files(spark, path)
+    aside, _ = _files(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = system.exists(old)
+    if had and not system.rename(old, aside):
+        raise OSError(f"cannot set {path} aside")
+    system.mkdirs(old.getParent())
+    if not system.rename(new, old):
+        if had:
+            system.rename(aside, old)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        system.delete(aside, True)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Replace a table, schema included."""
-    writer = _gathered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    """Replace a table, schema included. The new one is written beside the old one, which stays if the job fails; so a table
+    may also be replaced by something read from it."""
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    writer = _gathered(df, partition_by).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    try:
+        writer.parquet(fresh)
+    except Exception:
+        delete(spark, fresh)
+        raise
+    switch(spark, fresh, path)
+    return spark.read.parquet(path)
 
 
 def check_key(df: DataFrame, key: list[str]) -> DataFrame:
@@ -52,15 +93,25 @@ def publish_snapshot(df: DataFrame, path: str, key: list[str]) -> DataFrame:
     return overwrite(df, path)
 
 
+def with_record_id(df: DataFrame, row_key: list[str]) -> DataFrame:
+    """Add ``id``, a hash of the key as a JSON object with nulls kept: different keys have different ids, a retry the same."""
+    key = F.struct(*[F.col(c).cast("string").alias(c) for c in row_key])
+    return df.withColumn("id", F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256))
+
+
 def append_log(df: DataFrame, path: str, row_key: list[str]) -> DataFrame:
-    """Append records with an id derived from their key.
+    """Append records with an id derived from their key; records whose id is there already are left out.
 
-    A hash of the row key is unique without a counter and the same on a retry, so a repeated append
-    can be recognised.
+    So appending again adds nothing. Records that share a key within ``df`` are one record.
     """
-    identified = df.withColumn("id", F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in row_key]), 256))
+    spark = df.sparkSession
+    identified = with_record_id(df, row_key).dropDuplicates(["id"])
+    place, system = _files(spark, path)
+    if system.exists(place):
+        stored = spark.read.parquet(path).select("id")
+        identified = identified.join(stored, "id", "left_anti")
     identified.write.mode("append").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> str:
@@ -74,18 +125,21 @@ def export_csv(df: DataFrame, path: str) -> str:
 def replace_range(df: DataFrame, path: str, partition: str, start: date, end: date) -> DataFrame:
     """Refresh the dates [start, end) of a date-partitioned table and leave the others as they are.
 
-    Every stored day of the range must come with new rows: a dynamic overwrite cannot empty a day,
-    so one that would have to be emptied is an error and nothing is written.
+    A dynamic overwrite replaces the days that come with new rows; stored days of the range without any are
+    removed after it, folder by folder, at most one for each day of the range.
     """
+    spark = df.sparkSession
     column = F.col(partition)
     in_range = (column >= F.lit(start)) & (column < F.lit(end))
+    before = spark.read.parquet(path)
+    schema = before.schema
+    stored = before.where(in_range).select(partition).distinct()
     inside = df.where(in_range)
-    stored = df.sparkSession.read.parquet(path).where(in_range).select(partition).distinct()
-    emptied = stored.join(inside.select(partition).distinct(), partition, "left_anti")
-    if not emptied.isEmpty():
-        raise ValueError(f"no new rows for some stored days between {start} and {end}")
+    emptied = [r[0] for r in stored.join(inside.select(partition).distinct(), partition, "left_anti").collect()]
     _gathered(inside, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    for day in emptied:
+        delete(spark, f"{path}/{partition}={day.isoformat()}")
+    return spark.read.schema(schema).parquet(path)
 

@@ -41,8 +41,10 @@ def finish(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def to_table(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> str:
-    """Append everything available to a Parquet table, exactly once per input row."""
+def to_table(
+    stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None
+) -> StreamingQuery:
+    """Append everything available to a Parquet table, exactly once per input row. Gives the finished query, with its progress."""
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -52,14 +54,16 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, partition_by: list[s
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    finish(writer.start())
-    return path
+    query = writer.start()
+    finish(query)
+    return query
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream to its end into a fresh table and return the table."""
     spark = stream.sparkSession
-    path = to_table(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint"))
+    path = scratch_path(spark, name)
+    to_table(stream, path, scratch_path(spark, f"{name}-checkpoint"))
     return spark.read.schema(stream.schema).parquet(path)
 
 

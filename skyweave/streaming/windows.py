@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,16 +69,19 @@ def local_session_merge(spark: SparkSession):
             spark.conf.set(name, before)
 
 
-def without_repeats(stream: DataFrame, row_id: str, pieces: int = 16) -> DataFrame:
-    """Drop rows whose id was seen within the watermark.
+def thinned(stream: DataFrame, row_id: str) -> DataFrame:
+    """Without the copies an Arrow batch of an input partition holds of a row: a row replayed very often
+    travels as a few copies. Keeps no state; use it before the watermark is set."""
 
-    Copies are first thinned per input partition, then per id. A row replayed very often is thus
-    never gathered in one task; the answer does not depend on which piece a copy went to.
-    """
-    piece = F.pmod(F.spark_partition_id(), F.lit(pieces))
-    return (
-        stream.withColumn("__piece", piece)
-        .dropDuplicatesWithinWatermark([row_id, "__piece"])
-        .drop("__piece")
-        .dropDuplicatesWithinWatermark([row_id])
-    )
+    def first_of_each(batches):
+        for batch in batches:
+            rows = pa.table({"id": batch.column(row_id), "at": pa.array(range(batch.num_rows))})
+            yield batch.take(rows.group_by("id").aggregate([("at", "min")]).column("at_min").combine_chunks())
+
+    return stream.mapInArrow(first_of_each, stream.schema)
+
+
+def without_repeats(stream: DataFrame, row_id: str) -> DataFrame:
+    """Drop rows whose id was seen within the watermark; one stateful step. Put ``thinned`` before it where single
+    rows may be replayed very often."""
+    return stream.dropDuplicatesWithinWatermark([row_id])

@@ -90,7 +90,7 @@ def test_warn_lets_null_pass(spark):
 
 def test_range_issues_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], ROW)
-    assert all(v is None for v in one(profile.range_issues(empty)))
+    assert all(v is None for v in one(profile.out_of_range(empty, rules.RANGE_RULES)))
     assert one(rules.clean_report(empty, rules.CURATED_RULES)).scoped_rows == 0
 
 

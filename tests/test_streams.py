@@ -81,14 +81,3 @@ def test_second_run_reads_only_new_files(spark, folder):
     summary = {r.region: r.n_rows for r in medallion.read_summary(spark, built).collect()}
     assert summary == {r.region: r["count"] for r in gold.groupBy("region").count().collect()}
     assert medallion.regional_gold(spark, built, "EMEA").count() == summary["EMEA"]
-
-
-def test_replay_reads_every_file_once(spark, folder):
-    from skyweave.sources import replay
-
-    replay.register(spark)
-    path = scratch_path(spark, "test-replay")
-    events = table(spark, folder, "events")
-    events.repartition(7).write.parquet(path)
-    stream = spark.readStream.format("replay").schema(events.schema).option("path", path).load()
-    same(run.drain(stream, "replayed"), events)
