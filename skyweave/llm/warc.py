@@ -300,7 +300,8 @@ def write_archives(pages: DataFrame, workspace: Workspace, name: str = "archives
 def read_archives(listing: DataFrame, folder: str) -> DataFrame:
     """All records of the listed archives (``archive`` and, where known, ``records``), validated while read.
 
-    An archive is read by one task as a stream. A broken header, length, digest or frame fails the job with
+    An archive is read by one task as a stream, and archives are dealt to as many tasks. A broken header, length, digest or frame fails the job with
     ``ArchiveError``. Of a revisit the payload is null; its length and digest are those of the full payload.
     """
-    return listing.repartition(F.col("archive")).mapInArrow(_reader(folder), RECORD)
+    tasks = max(1, listing.count())
+    return listing.repartition(tasks, "archive").mapInArrow(_reader(folder), RECORD)
