@@ -25,13 +25,18 @@ def exact_quantiles(
     *,
     by: list[str] | None = None,
     measures: list[Column] | None = None,
+    whole_group: int | None = None,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Interpolated percentiles q0, q1, ... and the row count, one row per (group, feature).
 
     Counts per part of a group's range say in which part each percentile lies; a second look divides those
     parts again. Both are hash aggregates, reduced on the map side. The last pass counts what lies below such a band and
     ranks only the values inside it; repeats collapse on the map side too. ``measures`` are further aggregates over ``value``.
+    Groups of up to ``whole_group`` values are ranked whole; bands are sliced if there are more than ``target_rows`` values.
     """
+    whole_group = WHOLE_GROUP if whole_group is None else whole_group
+    target_rows = target_rows or sequence.TARGET_ROWS
     by = by or []
     keys = [*by, "feature"]
     long = df.unpivot(by, columns, "feature", "value").where(F.col("value").isNotNull())
@@ -48,13 +53,13 @@ def exact_quantiles(
         sizes.select("*", *ends).drop("__low", "__high").withColumnsRenamed({k: f"__g_{k}" for k in keys}), "quantile-ends"
     )
     values = sum(r.n_values for r in rows) if rows is not None else None
-    if rows is None or any(r.n_values > WHOLE_GROUP for r in rows):
+    if rows is None or any(r.n_values > whole_group for r in rows):
         for _ in range(LOOKS):
             groups, _ = bounded_side(_narrowed(long, groups, keys, probs), "quantile-ends")
     else:
         opened = {f"__{side}{i}": F.lit(None).cast("double") for side in ("lo", "hi") for i in range(len(probs))}
         groups = groups.withColumns(opened)
-    ranked = _rank_bands(long, groups, keys, len(probs), values)
+    ranked = _rank_bands(long, groups, keys, len(probs), values, target_rows)
 
     def value_at(i: int, rank: Column) -> Column:
         hit = (F.col("__band") == i) & (F.col("__through") > rank) & (F.col("__through") - F.col("__n") <= rank)
@@ -129,7 +134,9 @@ def _same_group(keys: list[str]) -> Column:
     return same
 
 
-def _rank_bands(long: DataFrame, groups: DataFrame, keys: list[str], bands: int, values: int | None) -> DataFrame:
+def _rank_bands(
+    long: DataFrame, groups: DataFrame, keys: list[str], bands: int, values: int | None, target_rows: int
+) -> DataFrame:
     """Values inside each band with the number of values up to and including them.
 
     Everything below a band is folded into one entry with a null value, which sorts first, so the
@@ -154,8 +161,8 @@ def _rank_bands(long: DataFrame, groups: DataFrame, keys: list[str], bands: int,
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     slices = Slices()
-    if values is None or values > sequence.TARGET_ROWS:
+    if values is None or values > target_rows:
         # Bands of a large input may be large themselves: keep their counts, then cut them evenly.
         counted = materialise(counted, "quantile-bands")
-        slices = plan_slices(counted, "__v")
+        slices = plan_slices(counted, "__v", target_rows=target_rows)
     return ordered_scan(counted, [*keys, "__band"], "__v", running={"__through": F.col("__n")}, slices=slices)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyweave.operators import changes
+from skyweave.operators.sequence import plan_slices
 from skyweave.queries.base import query
 from skyweave.sources.telemetry import table
 
@@ -25,16 +26,23 @@ def cdc_scd1(spark, folder):
     return changes.apply_latest(_feed(spark, folder), "o_custkey", "o_orderkey", F.expr(_GONE))
 
 
-@query(
-    "cdc_scd2",
-    f"""SELECT o_custkey, valid_from, valid_to, o_orderstatus, o_totalprice, valid_to IS NULL AS is_current FROM
+_HISTORY = f"""SELECT o_custkey, valid_from, valid_to, o_orderstatus, o_totalprice, valid_to IS NULL AS is_current FROM
     (SELECT *, o_orderkey AS valid_from, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS valid_to
-    FROM orders) WHERE NOT ({_GONE})""",
-)
+    FROM orders) WHERE NOT ({_GONE})"""
+
+
+@query("cdc_scd2", _HISTORY)
 def cdc_scd2(spark, folder):
     return changes.apply_history(_feed(spark, folder), "o_custkey", "o_orderkey", F.expr(_GONE))
 
 
+@query("cdc_scd2_sliced", _HISTORY)
+def cdc_scd2_sliced(spark, folder):
+    feed = _feed(spark, folder)
+    slices = plan_slices(feed, "o_orderkey", target_rows=1_000)
+    return changes.apply_history(feed, "o_custkey", "o_orderkey", F.expr(_GONE), slices)
+
+
 @query(
     "snapshot_diff",
     """WITH a AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),

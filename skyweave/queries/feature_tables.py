@@ -46,15 +46,14 @@ def feature_lookup_orders(spark, folder):
     return features.lookup(orders, customers, "o_custkey", ["c_mktsegment", "c_acctbal"])
 
 
-@query(
-    "asof_features",
-    f"""{CURATED}, v AS (SELECT icao24, CAST(CAST(time_position AS DATE) + 1 AS TIMESTAMP) AS known_at,
+_ASOF = f"""{CURATED}, v AS (SELECT icao24, CAST(CAST(time_position AS DATE) + 1 AS TIMESTAMP) AS known_at,
     avg(velocity) AS avg_velocity, max(baro_altitude) AS max_baro_altitude, CAST(count(*) AS DOUBLE) AS num_state_vectors
     FROM cur GROUP BY 1, 2)
     SELECT event_id, round(avg_velocity, 6) AS avg_velocity, max_baro_altitude, num_state_vectors, known_at
-    FROM sv ASOF LEFT JOIN v ON sv.icao24 = v.icao24 AND sv.time_position > v.known_at""",
-)
-def asof_features(spark, folder):
+    FROM sv ASOF LEFT JOIN v ON sv.icao24 = v.icao24 AND sv.time_position > v.known_at"""
+
+
+def _as_of(spark, folder, target_rows=None):
     rows = state_vectors(spark, folder).select("event_id", "icao24", "time_position")
     # A day's features are known from the following midnight on.
     day = F.to_date("time_position").alias("day")
@@ -63,11 +62,21 @@ def asof_features(spark, folder):
     )
     names = ["avg_velocity", "max_baro_altitude", "num_state_vectors", "known_at"]
     # A key has at most one version a day, so cutting by the rows alone is even enough.
-    slices = plan_slices(rows, "time_position", "event_id")
+    slices = plan_slices(rows, "time_position", "event_id", target_rows)
     joined = as_of(rows, versions, ["icao24"], "time_position", "known_at", names, "event_id", slices=slices)
     return joined.select("event_id", F.round("avg_velocity", 6).alias("avg_velocity"), *names[1:])
 
 
+@query("asof_features", _ASOF)
+def asof_features(spark, folder):
+    return _as_of(spark, folder)
+
+
+@query("asof_features_sliced", _ASOF)
+def asof_features_sliced(spark, folder):
+    return _as_of(spark, folder, 1_000)
+
+
 # Feedback comes from a share of the log's readers; some of it points at predictions never logged.
 _LOG = f"log AS (SELECT event_id AS id, {RULE_CLASS} AS predicted_phase, {PHASE} AS flight_phase FROM sv WHERE velocity IS NOT NULL)"
 _FEEDBACK = f"""fb AS (SELECT event_id AS feedback_id, event_id AS prediction_id, {PHASE} AS correct_phase,

@@ -38,6 +38,11 @@ def feature_summary(spark, folder):
     return profile.feature_summary(curated(spark, folder), exact=True)
 
 
+@query("feature_summary_sliced", f"{CURATED} {_summary_sql('cur', profile.FEATURES)}")
+def feature_summary_sliced(spark, folder):
+    return profile.feature_summary(curated(spark, folder), exact=True, whole_group=0, target_rows=1_000)
+
+
 @query("feature_summary_approx")
 def feature_summary_approx(spark, folder):
     return profile.feature_summary(curated(spark, folder))

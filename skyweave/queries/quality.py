@@ -177,6 +177,15 @@ def expectation_metrics(spark, folder):
     return rules.expectation_metrics(state_vectors(spark, folder), rules.SILVER_DROP + rules.SILVER_WARN)
 
 
+def expectation_sql(source: str) -> str:
+    """Passed and failed rows of every silver expectation."""
+    return SV + " UNION ALL ".join(
+        f" SELECT '{name}' AS rule, count(*) FILTER (WHERE {text}) AS passed, "
+        f"count(*) - count(*) FILTER (WHERE {text}) AS failed FROM {source}"
+        for name, text in _EXPECT.items()
+    )
+
+
 @query(
     "expectation_observed",
     SV + " UNION ALL ".join(

@@ -8,6 +8,7 @@ from skyweave.operators import regions
 from skyweave.operators.rules import SILVER_DROP, keep_passing
 from skyweave.plans import medallion
 from skyweave.queries.base import BAND, SILVER, SV, band_union, query
+from skyweave.queries.quality import expectation_sql
 from skyweave.sources.telemetry import events_path, state_vectors
 
 
@@ -87,3 +88,8 @@ def medallion_summary(spark, folder):
     scope = medallion.time_of_day(720, 735)
     tables = medallion.build(spark, events_path(folder), scope=scope)
     return medallion.read_summary(spark, tables)
+
+
+@query("medallion_expectations", expectation_sql("sv"))
+def medallion_expectations(spark, folder):
+    return medallion.read_expectations(spark, medallion.build(spark, events_path(folder)))

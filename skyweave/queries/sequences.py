@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 
 from skyweave.functions.labels import flight_phase
 from skyweave.operators import tracks
+from skyweave.operators.sequence import plan_slices
 from skyweave.queries.base import PHASE, RULE_CLASS, SV, query
 from skyweave.queries.sources import prediction_log
 from skyweave.sources.telemetry import state_vectors, table
 
 _RADIUS = "6371008.8"
 
+# Rows a slice may hold in the queries that always slice, so that the path for large inputs runs on small ones too.
+SLICE_ROWS = 1_000
+
 
 def _distance(lat1, lon1, lat2, lon2) -> str:
     return (
@@ -90,6 +94,12 @@ def entity_tracks(spark, folder):
     return tracks.chronological(state_vectors(spark, folder).select("event_id", "icao24", "time_position"))
 
 
+@query("entity_tracks_sliced", f"{SV}, {_NUMBERED} SELECT * FROM n")
+def entity_tracks_sliced(spark, folder):
+    df = state_vectors(spark, folder).select("event_id", "icao24", "time_position")
+    return tracks.chronological(df, slices=plan_slices(df, "time_position", "event_id", SLICE_ROWS))
+
+
 @query(
     "downsample_tracks",
     f"{SV}, {_NUMBERED} SELECT * FROM n WHERE (point_no - 1) % CAST(ceil(n_points / 20.0) AS BIGINT) = 0",
@@ -117,9 +127,10 @@ def _rolling_sql(hours: int) -> str:
     round(avg(velocity) OVER w, 6) AS avg_velocity FROM sv WINDOW w AS ({frame})"""
 
 
-def _rolling(spark, folder, hours):
+def _rolling(spark, folder, hours, sliced=False):
     df = state_vectors(spark, folder).select("icao24", "time_position", "velocity")
-    rolled = tracks.rolling_features(df, hours * 3600)
+    slices = plan_slices(df, "time_position", target_rows=SLICE_ROWS) if sliced else None
+    rolled = tracks.rolling_features(df, hours * 3600, slices=slices)
     return rolled.withColumn("avg_velocity", F.round("avg_velocity", 6))
 
 
@@ -133,6 +144,11 @@ def rolling_features_day(spark, folder):
     return _rolling(spark, folder, 24)
 
 
+@query("rolling_features_sliced", _rolling_sql(24))
+def rolling_features_sliced(spark, folder):
+    return _rolling(spark, folder, 24, sliced=True)
+
+
 @query(
     "stale_fix",
     f"""{SV} SELECT event_id, last_pos_update,
@@ -198,9 +214,10 @@ def _segments_sql(gap: int) -> str:
     round(coalesce(sum(step) FILTER (WHERE fresh = 0), 0.0) / 1000.0, 3) AS length_km FROM s GROUP BY 1, 2"""
 
 
-def _routes(spark, folder, gap):
+def _routes(spark, folder, gap, sliced=False):
     df = state_vectors(spark, folder).select("event_id", "icao24", "time_position", "latitude", "longitude")
-    return tracks.segment_routes(df, gap).withColumn("length_km", F.round("length_km", 3))
+    slices = plan_slices(df, "time_position", "event_id", SLICE_ROWS) if sliced else None
+    return tracks.segment_routes(df, gap, slices=slices).withColumn("length_km", F.round("length_km", 3))
 
 
 @query("flight_segments", _segments_sql(1800))
@@ -213,6 +230,11 @@ def flight_segments_long(spark, folder):
     return _routes(spark, folder, 43200)
 
 
+@query("flight_segments_sliced", _segments_sql(43200))
+def flight_segments_sliced(spark, folder):
+    return _routes(spark, folder, 43200, sliced=True)
+
+
 @query(
     "step_distance",
     f"""{SV}, k AS (SELECT *, lag(latitude) OVER w AS plat, lag(longitude) OVER w AS plon,

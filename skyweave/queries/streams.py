@@ -9,7 +9,7 @@ from skyweave.operators.rules import CURATED_RULES, SILVER_DROP, SILVER_WARN, ke
 from skyweave.plans import learning
 from skyweave.queries.base import CURATED, PHASE, RULE_CLASS, SILVER, SV, query
 from skyweave.queries.learning import MODEL, registered
-from skyweave.queries.quality import _EXPECT
+from skyweave.queries.quality import expectation_sql
 from skyweave.session import scratch_path
 from skyweave.queries.sources import prediction_log, rule_class
 from skyweave.sources import sinks
@@ -119,14 +119,7 @@ def stream_score(spark, folder):
     return run.drain(scored, "scored").select("event_id", "icao24", "flight_phase", labelled.alias("has_label"))
 
 
-@query(
-    "stream_expectations",
-    SV + " UNION ALL ".join(
-        f" SELECT '{name}' AS rule, count(*) FILTER (WHERE {text}) AS passed, "
-        f"count(*) - count(*) FILTER (WHERE {text}) AS failed FROM sv"
-        for name, text in _EXPECT.items()
-    ),
-)
+@query("stream_expectations", expectation_sql("sv"))
 def stream_expectations(spark, folder):
     return tables.expectation_counters(
         _vectors(spark, folder), SILVER_DROP + SILVER_WARN, scratch_path(spark, "expectations")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_root: str | None = None
+_made: set[str] = set()
+
+# Bytes of a shuffle partition before AQE merges small ones.
+PARTITION_BYTES = 256 << 20
 
 # Most rows a side may have to be broadcast.
 BROADCAST_ROWS = 10_000
@@ -19,11 +25,14 @@ def build_session(
     partitions: int | None = None,
     app: str = "skyweave",
     driver_memory: str | None = None,
+    shared: str | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """A session with the settings the library is tuned for.
 
-    On a cluster leave ``master`` and ``partitions`` unset: AQE coalesces a generous partition
-    count down to the advisory size, so one setting serves small and large inputs.
+    On a cluster leave ``master`` and ``partitions`` unset and name the folder all executors share in ``shared``, unless
+    ``spark.checkpoint.dir`` is set already. AQE only ever merges shuffle partitions, so there must be enough of them to begin
+    with: ``input_bytes``, the size of the largest input of a shuffle, gives one for each PARTITION_BYTES, 4000 without it.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -46,15 +55,19 @@ def build_session(
         builder = builder.master(master)
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     else:
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4000")
+        first = max(4000, -(-(input_bytes or 0) // PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(first))
     return builder.getOrCreate()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temporary folder only for local masters."""
+    """Shared folder named by ``spark.checkpoint.dir``; for local masters without one, as in tests, a temporary folder that
+    goes with the process."""
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -63,12 +76,28 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="skyweave-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared scratch root; never reused, so concurrent runs cannot clash."""
-    return f"{scratch_root(spark)}/skyweave/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/skyweave/{name}-{uuid.uuid4().hex}"
+    _made.add(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete what this process has put under the shared scratch root; gives the number of folders.
+
+    For long sessions: call it once no DataFrame that was returned is needed any more.
+    """
+    count = len(_made)
+    for path in list(_made):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _made.discard(path)
+    return count
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

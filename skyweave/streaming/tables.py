@@ -34,7 +34,7 @@ def _stored(spark: SparkSession, path: str, like) -> DataFrame:
     """The table in a folder, empty where nothing has been written yet."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(place) or not any(s.isDirectory() for s in system.listStatus(place)):
+    if not system.exists(place) or all(s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(place)):
         return spark.createDataFrame([], like)
     return spark.read.schema(like).parquet(path)
 
@@ -59,7 +59,7 @@ def latest_positions(
             every = _stored(session, winners, marked)
             old = every.where(F.col("batch") < batch_id)
             both = _stored(session, base, like).unionByName(old.drop("batch"))
-            overwrite(latest_row(both, key, ts, row_id), f"{base}/all")
+            overwrite(latest_row(both, key, ts, row_id), base)
             # What the base holds now is removed; a repeated run finds the winners either there or here.
             for found in [r.batch for r in old.select("batch").distinct().collect()]:
                 delete(session, f"{winners}/batch={found}")

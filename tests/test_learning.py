@@ -25,6 +25,32 @@ def test_no_row_is_in_both_parts(split_rows):
     assert 0.75 < share < 0.85
 
 
+def test_the_cap_bounds_the_fit_alone(spark, folder, split_rows, monkeypatch):
+    monkeypatch.setattr(learning, "TRAIN_ROWS", 100)
+    train, held_out = parts(spark, folder)
+    assert 60 < train.count() < 140
+    assert held_out.count() == split_rows[1].count()
+    model = learning.fit(learning.LOGISTIC, train, ROW_FEATURES)
+    rows = curated(spark, folder)
+    assert learning.gold_predictions(model, rows, ["event_id"]).count() == rows.count()
+
+
+@pytest.mark.parametrize("candidate", [learning.LOGISTIC, learning.FOREST])
+def test_null_features_do_not_decide(split_rows, candidate, monkeypatch):
+    """Without one feature the labels still follow the others; they used to be all the same."""
+    monkeypatch.setattr(learning, "FOREST_TREES", 10)
+    train, held_out = split_rows
+    model = learning.fit(candidate, train, ROW_FEATURES)
+    blind = held_out.withColumn("velocity", F.lit(None).cast("double"))
+    scored = learning.score(model, blind)
+    assert scored.columns == [*blind.columns, f"{LABEL}_pred"]
+    labels = {r[0]: r[1] for r in scored.groupBy(f"{LABEL}_pred").count().collect()}
+    assert len(labels) > 1 and None not in labels and sum(labels.values()) == held_out.count()
+    as_seen = learning.score(model, held_out).select("event_id", F.col(f"{LABEL}_pred").alias("seen"))
+    same = scored.join(as_seen, "event_id").where(F.col(f"{LABEL}_pred") == F.col("seen")).count()
+    assert same > 0.6 * held_out.count()
+
+
 @pytest.mark.parametrize("candidate", [learning.LOGISTIC, learning.FOREST, learning.BOOSTING])
 def test_candidates_learn(split_rows, candidate, monkeypatch):
     monkeypatch.setattr(learning, "FOREST_TREES", 10)
@@ -50,7 +76,8 @@ def test_model_brings_its_lookup(spark, folder, split_rows):
     scored = learning.score_with_lookup(spark, f"{root}/m", held_out.unionByName(stranger))
     # An unknown key still gets a row; its looked-up features are null.
     assert scored.count() == held_out.count() + 1
-    assert scored.where("icao24 = 'ffffff' AND avg_velocity IS NULL").count() == 1
+    unknown = scored.where("icao24 = 'ffffff' AND avg_velocity IS NULL").collect()
+    assert len(unknown) == 1 and unknown[0][f"{LABEL}_pred"] in PHASES
 
 
 def test_alias_moves(spark):
@@ -60,3 +87,23 @@ def test_alias_moves(spark):
     registry.point("prod", versions.where("version = 2"), 1)
     registry.point("prod", versions.where("version = 1"), 2)
     assert [(r.alias, r.version) for r in registry.resolve().collect()] == [("prod", 1)]
+    with pytest.raises(LookupError):
+        registry.load("m", "prod")
+
+
+def test_an_alias_loads_what_it_points_to(spark, split_rows, monkeypatch):
+    monkeypatch.setattr(learning, "FOREST_TREES", 5)
+    train, held_out = split_rows
+    fits = {c: learning.fit(c, train, ROW_FEATURES) for c in (learning.FOREST, learning.LOGISTIC)}
+    tie = spark.createDataFrame([(c, 0.5) for c in fits], "candidate string, macro_f1 double")
+    registry = learning.ModelTable(spark, scratch_path(spark, "test-registry"))
+    versions = registry.store("m", fits, tie)
+    # A tie goes to the first name.
+    assert [r.candidate for r in learning.promote(registry, "m", 1).collect()] == [learning.LOGISTIC]
+    registry.point("prod", versions.where(F.col("candidate") == learning.FOREST), 2)
+    model, candidate = registry.load("m", "prod")
+    assert candidate == learning.FOREST
+    one, two = (learning.score(m, held_out).orderBy("event_id").collect() for m in (model, fits[learning.FOREST]))
+    assert one == two
+    runs = {(r.run, r.kind, r.name) for r in registry.runs().collect()}
+    assert (learning.FOREST, "param", "trees") in runs and (learning.LOGISTIC, "metric", "macro_f1") in runs

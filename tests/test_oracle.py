@@ -7,18 +7,23 @@ import __spark_entry__ as contract
 
 ORACLES = contract.oracle_sql()
 ROWS_ONLY = sorted(set(contract.queries()) - set(ORACLES))
-# Queries that fit models are exercised in test_learning.
-FITTED = {"ml_logistic", "ml_forest", "ml_boosting", "ml_compare", "batch_score", "score_with_lookup", "stream_score"}
-FLAGSHIP = "class_balance"
+# The operators of skyweave.llm have tests of their own; what fits models is exercised in test_learning as well.
+CORPUS = {n for n in contract.queries() if n.startswith("op") and n[2:3].isdigit()} | {"pipeline"}
+FITTED = {"ml_logistic", "ml_forest", "ml_boosting", "ml_compare", "batch_score", "score_with_lookup", "stream_score", "alias_move"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_same_rows(spark, con, folder, name):
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - CORPUS))
+def test_same_rows(spark, con, folder, name, monkeypatch):
+    if name in FITTED:
+        from skyweave.plans import learning
+
+        monkeypatch.setattr(learning, "FOREST_TREES", 10)
+        monkeypatch.setattr(learning, "FOREST_DEPTH", 6)
     found = harness.differences(contract.queries()[name](spark, folder), con, ORACLES[name])
     assert not found, found
 
 
-@pytest.mark.parametrize("name", [n for n in ROWS_ONLY if n not in FITTED])
+@pytest.mark.parametrize("name", [n for n in ROWS_ONLY if n not in FITTED | CORPUS])
 def test_gives_rows(spark, folder, name):
     assert contract.queries()[name](spark, folder).count() > 0
 

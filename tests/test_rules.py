@@ -162,11 +162,63 @@ def test_replace_range_touches_only_its_days(spark, tmp_path):
     fresh = rows.withColumn("v", F.col("v") * 10)
     after = sinks.replace_range(fresh, path, "day", date(2024, 1, 2), date(2024, 1, 3))
     assert sorted(r.v for r in after.collect()) == [1, 3, 20]
-    with pytest.raises(ValueError):
-        sinks.replace_range(fresh.where("v = 20"), path, "day", date(2024, 1, 1), date(2024, 1, 4))
 
 
 def test_fill_of_both_histograms_agrees(spark):
     df = spark.createDataFrame([(float(v),) for v in (-5, 0, 999, 1000, 2500)] + [(None,)], "v double")
     bins = {r.bin_start: r.n_rows for r in profile.histogram(df, "v", 1000).collect()}
     assert bins == {-1000.0: 1, 0.0: 2, 1000.0: 1, 2000.0: 1}
+
+
+def test_compact_numbers(spark):
+    from skyweave.functions.text import compact_number
+
+    expected = {
+        0: "0.0", 999: "999.0", 1000: "1.0K", 999_949: "999.9K", 999_950: "1.0M", 1_234_567: "1.2M",
+        999_949_999: "999.9M", 999_950_000: "1.0B", 999_999_999: "1.0B", -999_950: "-1.0M", 2.5e12: "2500.0B",
+    }
+    df = spark.createDataFrame([(float(v),) for v in expected] + [(None,)], "v double")
+    got = {r.v: r.text for r in df.select("v", compact_number(F.col("v")).alias("text")).collect()}
+    assert got == {**{float(k): v for k, v in expected.items()}, None: None}
+
+
+def test_log_ids_tell_keys_apart(spark):
+    from skyweave.session import scratch_path
+    from skyweave.sources import sinks
+
+    keys = [("a", None), (None, "a"), ("a|", "b"), ("a", "|b")]
+    df = spark.createDataFrame(keys, "x string, y string")
+    path = scratch_path(spark, "test-log")
+    assert sinks.append_log(df, path, ["x", "y"]).select("id").distinct().count() == 4
+    assert sinks.append_log(df, path, ["x", "y"]).count() == 4
+    more = spark.createDataFrame([("a", None), ("new", None)], "x string, y string")
+    assert sinks.append_log(more, path, ["x", "y"]).count() == 5
+
+
+def test_a_failed_overwrite_leaves_the_table(spark):
+    from skyweave.session import scratch_path
+    from skyweave.sources import sinks
+
+    path = scratch_path(spark, "test-table")
+    sinks.overwrite(spark.range(5).toDF("a"), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).alias("a"))
+    with pytest.raises(Exception, match="no"):
+        sinks.overwrite(broken, path)
+    assert sinks.overwrite(spark.read.parquet(path).withColumn("b", F.lit(1)), path).columns == ["a", "b"]
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_replace_range_empties_days(spark):
+    from datetime import date
+
+    from skyweave.session import scratch_path
+    from skyweave.sources import sinks
+
+    path = scratch_path(spark, "test-days")
+    days = [(i, date(2024, 1, 1 + i)) for i in range(5)]
+    sinks.overwrite(spark.createDataFrame(days, "v int, day date"), path, ["day"])
+    fresh = spark.createDataFrame([(20, date(2024, 1, 2)), (90, date(2024, 1, 9))], "v int, day date")
+    found = sinks.replace_range(fresh, path, "day", date(2024, 1, 2), date(2024, 1, 4))
+    assert sorted((r.v, r.day.day) for r in found.collect()) == [(0, 1), (3, 4), (4, 5), (20, 2)]
+    nothing = sinks.replace_range(fresh.limit(0), path, "day", date(2024, 1, 1), date(2024, 1, 3))
+    assert sorted(r.v for r in nothing.collect()) == [3, 4]

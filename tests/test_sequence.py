@@ -137,6 +137,59 @@ def test_exact_quantiles(spark, target, whole, broadcast, monkeypatch):
     assert got["x"].n_values == 60_000
 
 
+def test_not_a_number_sorts_last_in_slices_too(spark):
+    rows = [(i, "k", float("nan") if i % 10 == 0 else float(i % 50), i) for i in range(200)]
+    rows += [(900, "k", None, 900), (901, "k", float("inf"), 901), (902, "k", float("-inf"), 902)]
+    df = spark.createDataFrame(rows, "id bigint, key string, at double, value bigint").repartition(4)
+    found = []
+    for target in (10_000, 20):
+        slices = plan_slices(df, "at", "id", target)
+        assert slices.single == (target == 10_000)
+        scanned = ordered_scan(df, ["key"], "at", "id", running={"n": F.lit(1)}, slices=slices)
+        found.append(sorted((r.id, r.n) for r in scanned.collect()))
+    assert found[0] == found[1]
+
+
+def test_text_is_no_axis(spark):
+    df = spark.createDataFrame([("k", "a"), ("k", "b")], "key string, at string")
+    with pytest.raises(TypeError, match="at: string is neither a number"):
+        plan_slices(df, "at", target_rows=1)
+    # The window itself can order by text; only slices can't.
+    assert ordered_scan(df, ["key"], "at", running={"n": F.lit(1)}, slices=sequence.Slices()).count() == 2
+
+
+@pytest.mark.parametrize("target", [10_000, 2])
+def test_as_of_keeps_rows_whatever_their_id(spark, target, monkeypatch):
+    monkeypatch.setattr(sequence, "TARGET_ROWS", target)
+    at = START + timedelta(seconds=10)
+    rows = [(None, "a", at), (1.0, "a", at), (float("nan"), "a", at), (float("inf"), "a", at), (2.0, "a", None), (3.0, None, at)]
+    df = spark.createDataFrame(rows, "id double, key string, at timestamp_ntz")
+    offered = [("a", START, 7), ("a", at, 8), ("a", None, 9)]
+    table = spark.createDataFrame(offered, "key string, known timestamp_ntz, version bigint")
+    got = as_of(df, table, ["key"], "at", "known", ["version"], "id").collect()
+    assert sorted((str(r.id), r.version) for r in got if r.key and r.at) == [("1.0", 7), ("None", 7), ("inf", 7), ("nan", 7)]
+    assert [(r.id, r.version) for r in got if not r.key or not r.at] in ([(2.0, None), (3.0, None)], [(3.0, None), (2.0, None)])
+
+
+def test_cut_points_follow_the_rows(spark):
+    """One far value must not spoil the cuts, and no number limits them."""
+    rows = [(i, "k", START + timedelta(microseconds=i * 3), 1) for i in range(3000)] + [(9999, "k", START + timedelta(days=9000), 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    slices = plan_slices(df, "at", "id", 10)
+    assert len(slices.cuts) >= 300
+    placed = sequence._with_slice(df, "at", "id", slices)
+    assert placed.groupBy(sequence._SLICE).count().agg(F.max("count")).first()[0] <= 10
+
+
+def test_no_task_sees_everything(spark):
+    """No sketch or sort of all rows in one task: exchanges to a single partition carry counts alone."""
+    from skyweave.operators import profile
+
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    plan = profile.feature_summary(df, ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 class OnACluster:
     """Just enough of a session to ask where shared files go."""
 
