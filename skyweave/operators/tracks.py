@@ -24,7 +24,8 @@ def pick_row(df: DataFrame, keys: list[str], rank: Column, *, newest: bool = Tru
     """One whole row per key: the one with the largest (or smallest) rank.
 
     An aggregate, so each task reduces a hot key to one row before the shuffle; a window would move
-    and sort all of its rows.
+    and sort all of its rows. A row of any types is no fixed-width buffer, so Spark aggregates by sorting: on the map side
+    too, each task sorts its rows by key.
     """
     rest = [c for c in df.columns if c not in keys]
     choose = F.max_by if newest else F.min_by

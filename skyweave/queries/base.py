@@ -68,6 +68,7 @@ CURATED = f"{LABELLED}, cur AS (SELECT * FROM lab WHERE {KEEP})"
 SILVER = f"{SV}, silver AS (SELECT * FROM sv WHERE {SILVER_KEEP})"
 JUDGED = f"{CURATED}, judged AS (SELECT *, {RULE_CLASS} AS flight_phase_pred FROM cur)"
 
+# The region bands.
 BAND = {
     "Americas": "(longitude BETWEEN -170 AND -30)",
     "EMEA": "(longitude BETWEEN -30 AND 75)",

@@ -155,7 +155,8 @@ def model_alias(spark, folder):
     registry.point("prod", worst, 1)
     registry.point("prod", best, 2)
     registry.point("previous", worst, 2)
-    return registry.resolve()
+    # These are rules, not fitted models, so there is no folder to load them from.
+    return registry.resolve().drop("path")
 
 
 @query(

@@ -13,7 +13,7 @@ from skyweave.session import scratch_path
 from skyweave.sources.sinks import overwrite
 from skyweave.sources.telemetry import state_vectors
 
-# The same rules again as text for the oracles.
+# Rule names and limits, the same rules again as text for the oracles.
 _CURATED_SQL = {
     "null_position": "latitude IS NOT NULL AND longitude IS NOT NULL",
     "latitude_range": "latitude BETWEEN -90 AND 90",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 from skyweave.functions.labels import flight_phase
 from skyweave.functions.text import address_status, callsign_status, clock, compact_number, grouped_number
 from skyweave.operators.features import ROW_FEATURES, entity_features, without_nulls
@@ -113,6 +114,7 @@ def write_overwrite(spark, folder):
     return sinks.overwrite(curated(spark, folder).select(*CURATED_COLUMNS), path)
 
 
+# The shape of a hint tree.
 _LOW = {
     "op": "lessThan",
     "children": [
@@ -171,6 +173,19 @@ def keyset_page(spark, folder):
     return scan.keyset_page(orders, "o_orderkey", middle, 100)
 
 
+@query(
+    "keyset_chain",
+    """WITH o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)
+    SELECT CAST(place // greatest(n // 5, 1) AS INTEGER) AS page, o_orderkey, o_totalprice FROM o""",
+)
+def keyset_chain(spark, folder):
+    """The whole table in pages of a fifth of it, each found from the last key of the one before."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    pages = scan.keyset_pages(orders, "o_orderkey", max(1, orders.count() // 5))
+    numbered = [page.select(F.lit(i).alias("page"), "*") for i, page in enumerate(pages)]
+    return reduce(DataFrame.unionByName, numbered)
+
+
 _FEATURES_SQL = """SELECT icao24, round(avg(velocity), 6) AS avg_velocity, max(baro_altitude) AS max_baro_altitude,
     min(baro_altitude) AS min_baro_altitude, round(avg(geo_altitude), 6) AS avg_geo_altitude,
     CAST(count(*) AS DOUBLE) AS num_state_vectors FROM cur GROUP BY icao24"""

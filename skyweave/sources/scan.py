@@ -37,6 +37,17 @@ def keyset_page(df: DataFrame, key: str, after, size: int) -> DataFrame:
     return rows.orderBy(key).limit(size)
 
 
+def keyset_pages(df: DataFrame, key: str, size: int, after=None):
+    """All pages after a key, one after the other; each asks for the last key of the page before. Keys must be unique."""
+    while True:
+        page = keyset_page(df, key, after, size)
+        last = page.agg(F.max(key).alias("last")).first().last
+        if last is None:
+            return
+        yield page
+        after = last
+
+
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType, json_arrays: dict[str, str]) -> DataFrame:
     """Typed CSV read. Array columns travel as JSON text and are parsed after the read.
 
