@@ -156,6 +156,26 @@ def judged(rows: DataFrame, limits: LineLimits, workspace: Workspace) -> DataFra
     make their text boilerplate. Counts are aggregated before they are shuffled; the few lines above the limits are
     written and joined back by line, and per document by its row number.
     """
+    removed = _removed(rows, limits, workspace)
+    return (
+        rows.join(removed, "row_id", "left")
+        .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
+        .withColumn("base_failed", _failed())
+        .withColumn("kept", ~_failed() & ~_depleted(limits))
+    )
+
+
+def _failed():
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+
+
+def _depleted(limits: LineLimits):
+    left = F.col("n_words") - F.col("removed_words")
+    return (F.col("removed_words") > 0) & ((left < limits.left_words) | (left < F.col("n_words") * limits.left_share))
+
+
+def _removed(rows: DataFrame, limits: LineLimits, workspace: Workspace) -> DataFrame:
+    """``row_id``, ``removed_words`` and ``removed_lines`` of the documents that have lines above the limits."""
     host = F.coalesce("host", F.lit("")), F.col("host").isNull()
     lines = rows.select(
         F.xxhash64(*host).alias("site"), "family", "row_id", F.explode("lines").alias("x")
@@ -172,22 +192,11 @@ def judged(rows: DataFrame, limits: LineLimits, workspace: Workspace) -> DataFra
         .select("site", "line", "families")
     )
     frequent = workspace.keep(frequent, "frequent")
-    removed = (
+    return (
         lines.join(frequent, ["site", "line"])
         .groupBy("row_id")
         .agg(F.sum("size").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
     )
-    left = F.col("n_words") - F.col("removed_words")
-    depleted = (F.col("removed_words") > 0) & (
-        (left < limits.left_words) | (left < F.col("n_words") * limits.left_share)
-    )
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return (
-        rows.join(removed, "row_id", "left")
-        .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & ~depleted)
-    )
 
 
 def quality(docs: DataFrame, workspace: Workspace, host_col: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
@@ -201,8 +210,15 @@ def quality(docs: DataFrame, workspace: Workspace, host_col: str = "source", lim
 
 
 def filtered(docs: DataFrame, workspace: Workspace, host_col: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
-    """The kept rows of ``docs``, whole and with their own columns."""
-    found = quality(docs, workspace, host_col, limits).where("kept")
+    """The kept rows of ``docs``, whole and with their own columns.
+
+    The numbers of the depleted documents, few as a rule, are written first: texts are then filtered against them, and
+    moved only if the list is too long for Spark to broadcast.
+    """
+    rows = measured(docs, host_col, docs.columns, workspace)
+    removed = _removed(rows, limits, workspace).select("row_id", "removed_words")
+    depleted = rows.select("row_id", "n_words").join(removed, "row_id").where(_depleted(limits)).select("row_id")
+    found = rows.where(~_failed()).join(workspace.keep(depleted, "depleted"), "row_id", "left_anti")
     return found.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
