@@ -449,7 +449,13 @@ def one_of_each(docs: DataFrame, workspace: Workspace, how: Similarity = Similar
     """``docs`` with one row of each group of linked documents: that with the smallest doc_id, null ids last, and one of
     several rows with that id. Rows without words are in no group and stay."""
     base = _sketched(docs, workspace, how, docs.columns)
-    keepers = _placed(base, workspace, how).select(F.col("keeper").alias("row_id")).distinct()
-    own = base.select("row_id", "n_shingles", *[c for c in base.columns if c.startswith("in_")])
-    kept = own.where("n_shingles > 0").join(keepers, "row_id", "left_semi").unionByName(own.where("n_shingles = 0"))
+    placed = _placed(base, workspace, how).select("set_a", "set_b", "n_shingles", "keeper")
+    # The rows to leave out are fewer than those that stay, and only their numbers are joined to the texts.
+    others = (
+        base.select("row_id", "set_a", "set_b", "n_shingles")
+        .join(placed, ["set_a", "set_b", "n_shingles"])
+        .where("row_id <> keeper")
+        .select("row_id")
+    )
+    kept = base.join(workspace.keep(others, "others"), "row_id", "left_anti")
     return kept.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
