@@ -200,7 +200,8 @@ def personal_data(docs: DataFrame, workspace: Workspace, how: Disclosure = Discl
     """
     rows = found_in(docs, workspace, how, kept_cols)
     disclosed = disclosing(rows, docs, workspace, how)
-    terms = term_spans(rows, disclosed, how)
+    # Written, so that Spark knows how short the list is before it decides how to join it to the texts.
+    terms = workspace.keep(term_spans(rows, disclosed, how), "terms")
     none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
     return (
         rows.drop("near")
@@ -212,15 +213,16 @@ def personal_data(docs: DataFrame, workspace: Workspace, how: Disclosure = Discl
 
 def sanitised(text: Column, base: Column, terms: Column) -> Column:
     """``text`` with base spans replaced by their kind, disclosing terms by what they look like, or removed. Of spans
-    that overlap, the one that starts first holds."""
-    named = F.transform(
-        base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("sign"))
-    )
+    that overlap, the one that starts first holds, and the longer of two that start together."""
+    def ordered(s: Column, sign: Column) -> Column:
+        return F.struct(s["start"].alias("start"), (-s["end"]).alias("before"), s["end"].alias("end"), sign.alias("sign"))
+
+    named = F.transform(base, lambda s: ordered(s, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
 
     def sign(t: Column) -> Column:
         value = F.substr(text, t["start"] + 1, t["end"] - t["start"])
         kind = F.when(value.rlike("[0-9]"), "[NUMBER]").when(value.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[TERM]")
-        return F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(t["remove"], "").otherwise(kind).alias("sign"))
+        return ordered(t, F.when(t["remove"], "").otherwise(kind))
 
     spans = F.array_sort(F.concat(named, F.transform(terms, sign)))
 
