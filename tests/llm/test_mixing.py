@@ -93,15 +93,19 @@ def test_mixture_without_words(spark, workspace):
 def plain_best_fit(sizes, lengths):
     """The same rule by looking at every bin."""
     bins, left = [], sum(sizes)
-    for size in sorted(sizes, reverse=True):
+    for turn, size in enumerate(sorted(sizes, reverse=True)):
         open_ = [b for b in bins if b[0] - sum(b[1]) >= size]
         if open_:
-            min(open_, key=lambda b: b[0] - sum(b[1]))[1].append(size)
+            # Of bins with the same room, the one filled last.
+            chosen = min(open_, key=lambda b: (b[0] - sum(b[1]), -b[2]))
         else:
             fits = [c for c in lengths.permitted if c >= size]
-            bins.append((min(fits, key=lambda c: (lengths.cost(c) / min(c, left), c)), [size]))
+            chosen = [min(fits, key=lambda c: (lengths.cost(c) / min(c, left), c)), [], turn]
+            bins.append(chosen)
+        chosen[1].append(size)
+        chosen[2] = turn
         left -= size
-    return sorted((min(c for c in lengths.permitted if c >= sum(x)), sum(x)) for _, x in bins)
+    return sorted((min(c for c in lengths.permitted if c >= sum(x)), sum(x)) for _, x, _ in bins)
 
 
 @pytest.mark.parametrize("seed", range(12))

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from skyweave.llm.neardup import Similarity
 
@@ -47,3 +49,30 @@ def test_empty_documents(spark, workspace):
     for name, stage in corpus_pipeline.STAGES:
         docs = workspace.keep(stage(spark, docs, ""), name)
     assert docs.count() == 0
+
+
+def test_odd_rows_and_clashing_names(spark, workspace):
+    """Nulls everywhere, repeated rows, a long text, and columns named like those the stages use inside."""
+    names = ["row_id", "cls", "base", "terms", "kept", "positions", "in_text", "size", "target", "n_words", "bucket", "text_x"]
+    clean = " ".join(f"word{i}" for i in range(40))
+    rows = [
+        (1, clean, "en", "a", 1), (1, clean, "en", "a", 1), (None, clean + " more", "en", None, None), (2, None, None, None, None),
+        (3, "", "en", "a", 0), (4, " ".join(f"x{i}" for i in range(200_000)), None, "b", 5), (None, None, None, None, None),
+        (5, "write to someone@example.org " + " ".join(f"y{i}" for i in range(30)), "de", "b", 2),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(f"{name}-{i}"))
+    before = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = workspace.keep(stage(spark, docs, ""), name)
+        assert docs.columns == before
+        found = docs.collect()
+        assert all(r[n] == f"{n}-{i}" for r in found for i, n in enumerate(names))
+        if name == "near_dedup":
+            assert sorted(str(r.doc_id) for r in found) == ["1", "4", "5"]
+        if name == "personal_data":
+            assert [r.text[:17] for r in found if r.doc_id == 5] == ["write to [EMAIL] "]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert {r.doc_id for r in packed} <= {1, 4, 5} and max(r.length for r in packed) <= 4096
