@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,6 +49,7 @@ BREAKING = frozenset(
     footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search
     section summary table tbody td tfoot th thead tr ul""".split()
 )
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 APART = frozenset("nav footer aside form menu dialog button search head".split())
 APART_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu".split())
@@ -60,11 +62,12 @@ APART_WORDS = frozenset(
 TRANSIENT = frozenset("ad ads adv advert advertisement banner consent cookie cookies gdpr notice overlay popup promo".split())
 MAIN_WORDS = frozenset("article content main post entry story articlebody maincontent".split())
 
+# All repeats are possessive and stop at the next "<", so broken markup costs no more than good markup.
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)
-    |<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,4000}"|'[^']{0,4000}')*)>
-    |<(/?)([a-zA-Z][^\s/>]*)([^>]*)>
-    |<[!?/][^>]*>""",
+    |<(/?)([a-zA-Z][^\s/<>"']*+)((?:[^<>"']|"[^"]{0,4000}+"|'[^']{0,4000}+')*+)>
+    |<(/?)([a-zA-Z][^\s/<>"']*+)([^<>]*+)>
+    |<[!?/][^<>]*+>""",
     re.S | re.X,
 )
 _ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -109,7 +112,9 @@ def _place(name: str, attributes: str) -> tuple[str, bool]:
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, with references decoded and white space made single spaces."""
     out: list[Block] = []
-    stack: list[tuple[str, str, int]] = []
+    # Open elements: name, why it stands apart, whether it or one around it does, the main container it is in.
+    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
+    open_names: Counter[str] = Counter()
     parts: list[str] = []
     linked = 0
     link = False
@@ -123,9 +128,8 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                apart = any(x[1] for x in stack)
-                main = next((x[2] for x in reversed(stack) if x[2]), 0)
-                heading = any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack)
+                _, _, apart, main = stack[-1]
+                heading = any(open_names[h] for h in HEADINGS)
                 out.append(Block(text, min(linked, len(text)), apart, main, heading))
             parts.clear()
         linked = 0
@@ -176,25 +180,29 @@ def blocks(page: str) -> list[Block]:
         if name in EMPTY:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            while open_names[name]:
+                last = stack.pop()[0]
+                open_names[last] -= 1
+                if last == name:
                     break
             continue
-        if stack and stack[-1][0] == "p":
-            stack.pop()
-        if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-            stack.pop()
-        if name == "body":
-            stack[:] = [x for x in stack if x[0] != "head"]
-        apart, main = _place(name, attributes)
-        if name == "header" and not any(x[2] for x in stack):
-            apart = apart or "header"
-        if main and not apart:
+        if stack[-1][0] == "p" or (name == "body" and stack[-1][0] == "head"):
+            open_names[stack.pop()[0]] -= 1
+        if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name:
+            open_names[stack.pop()[0]] -= 1
+        why, main = _place(name, attributes)
+        _, _, apart, within = stack[-1]
+        if name == "header" and not within:
+            why = why or "header"
+        if main and not why:
             mains += 1
-            if name in ("article", "main") and stack and all(not x[1] or x[1] in TRANSIENT for x in stack):
-                stack[:] = [(x[0], "", x[2]) for x in stack]
-        stack.append((name, apart, mains if main and not apart else 0))
+            within = mains
+            if apart and name in ("article", "main") and all(not x[1] or x[1] in TRANSIENT for x in stack):
+                # An advert or a notice that was never closed.
+                stack[:] = [(x[0], "", False, x[3]) for x in stack]
+                apart = False
+        stack.append((name, why, apart or bool(why), within))
+        open_names[name] += 1
     flush()
     return out
 
@@ -213,22 +221,22 @@ def _first_pass(block: Block) -> str:
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if density >= STOP_HIGH:
         return "good" if length > LENGTH_HIGH else "near"
-    if density >= STOP_LOW or block.main:
-        return "near"
-    return "bad"
+    return "near" if density >= STOP_LOW or block.main else "thin"
 
 
 def labelled(found: list[Block]) -> list[Block]:
     """Blocks with the label good or bad.
 
     Blocks apart are bad and no neighbours. The edge of a main container counts as good for the blocks in it, the edge of the page
-    as bad for the blocks outside, unless nothing on the page is decided and the block is near-good. An undecided block between two good ones is good, between two bad ones bad;
-    between one of each it follows the nearer, a near-good block and a heading the good one.
+    as bad for the blocks outside. An undecided block between two good ones is good, between two bad ones bad;
+    between one of each it follows the nearer, a near-good block and a heading the good one. On a page without a main
+    container and without a good block, all undecided blocks are good: there is nothing that speaks against them.
     """
     first = [_first_pass(b) for b in found]
+    plain = not any(b.main for b in found) and "good" not in first
     for i, (block, label) in enumerate(zip(found, first)):
-        if label in ("good", "bad", "apart"):
-            block.label = "good" if label == "good" else "bad"
+        if label in ("good", "bad", "apart") or plain:
+            block.label = "bad" if label in ("bad", "apart") else "good"
             continue
         sides = []
         for step in (-1, 1):
@@ -240,8 +248,7 @@ def labelled(found: list[Block]) -> list[Block]:
                 j += step
                 distance += 1
             inside = 0 <= j < len(found)
-            edge = "good" if block.main or (label == "near" and not any(x in ("good", "bad") for x in first)) else "bad"
-            sides.append((first[j] if inside else edge, distance))
+            sides.append((first[j] if inside else ("good" if block.main else "bad"), distance))
         (before, near), (after, far) = sides
         if before == after:
             block.label = before

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import time
 
 import pytest
 
@@ -32,7 +33,27 @@ LONG = "This is the text of a page that has no container for what it says, and s
 def test_rules_without_a_container():
     page = f"<div><a>Home</a> <a>News</a></div><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p><div>© firm</div>"
     assert text(page) == f"Title\n{LONG.strip()}\nShort.\n{LONG.strip()}"
-    assert text("<p>" + "zq xv kp wj " * 30 + "</p>") == ""
+    thin = "zq xv kp wj " * 30
+    assert text(f"<nav><a>Home</a></nav><p>{thin}</p><div>© firm</div>") == thin.strip()
+    menu = "<p><a>one two three</a></p>"
+    assert text(f"<p>{LONG}</p>{menu}{menu}<p>{thin}</p>{menu}") == LONG.strip()
+    assert text(f"<p>{LONG}</p><p>{thin}</p><p>{LONG}</p>") == "\n".join((LONG.strip(), thin.strip(), LONG.strip()))
+
+
+TEMPLATES = [
+    '<div class="sidebar"><h3>Hot</h3><p>{l}</p></div><div class="post-content"><h1>T</h1><p>{a}</p></div><div id="footer">x</div>',
+    '<HEADER>Site</HEADER><MAIN><H1>T</H1><P>{a}</MAIN><ASIDE>{l}</ASIDE>',
+    '<div role="navigation">a b</div><article><h1>T</h1><div class="ad-slot">buy</div><p>{a}</p><form>mail</form></article>'
+    '<div class="comments-area"><div class="comment"><p>{l}</p></div></div>',
+    '<div class="cookie-banner">{l}<button>ok</button></div><div id="content"><h1>T</h1><p>{a}</p><ul class="share-links"><li>x</ul></div>',
+    '<div class="notice">{l}</div><!-- <p>no</p> --><section class="entry"><h1>T</h1>{a}</section><footer>{l}</footer>',
+    '<div class="banner">ad<article><h1>T</h1><p>{a}</p></article>',
+]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_templates(template):
+    assert text(template.format(l=LONG, a="ALL CAPS &amp; more")) == "T\nALL CAPS & more"
 
 
 @pytest.mark.parametrize("page", ["", None, "<", "<a \"b", "<!-- x", "<script>x", "</p></div>", "&#xffffffff;", "<p" * 2000, "<![CDATA[x"])
@@ -40,6 +61,15 @@ def test_broken_markup(page):
     assert isinstance(text(page), str)
 
 
+@pytest.mark.parametrize(
+    "part", ["<p", "<", "<a '", '<a "', "<!", "</", "<div>x", "</section>", "<b>", "&amp", "<p>a</div>", "<!--", "<div><section></section>"]
+)
+def test_broken_markup_is_read_in_one_pass(part):
+    start = time.perf_counter()
+    main_text(part * 100_000)
+    assert time.perf_counter() - start < 20
+
+
 def test_long_page():
     body = "<p>" + "a word of it " * 60_000 + "</p>"
     assert len(text(f"<article>{body}</article>")) == 60_000 * 13 - 1
