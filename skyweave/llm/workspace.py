@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,13 @@ class Workspace:
 
     Every cut of a lineage is a Parquet table here, which all executors can read and which outlives any of them.
     ``drop`` removes a table as soon as no plan needs it; what a returned DataFrame still reads
-    stays until the caller calls ``close``.
+    stays until the caller calls ``close``, or else until the driver's Python ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{scratch_root(spark)}/skyweave-llm/{name}-{uuid.uuid4().hex}"
+        atexit.register(self._end)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
@@ -35,8 +37,14 @@ class Workspace:
             self._delete(f"{self.path}/{name}")
 
     def close(self) -> None:
+        atexit.unregister(self._end)
         self._delete(self.path)
 
+    def _end(self) -> None:
+        # A session stopped before has no way to the files any more.
+        if self.spark._jsc.sc().isStopped() is False:
+            self._delete(self.path)
+
     def _delete(self, path: str) -> None:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
