@@ -281,10 +281,12 @@ def write_archives(pages: DataFrame, workspace: Workspace, name: str = "archives
     table gives no archive. Extra columns are ignored.
     """
     rows = decided(pages, workspace)
+    # A hash thins the rows out first, so that the tasks together hand over a few times DICTIONARY_PAGES rows at most.
+    share = min(1.0, 4 * DICTIONARY_PAGES / max(1, rows.count()))
+    drawn = rows.where(F.pmod(F.xxhash64("row_id"), F.lit(10**9)) < int(10**9 * share)).where(F.length("html") > 0)
     sample = [
         r.html.encode()
-        for r in rows.where(F.length("html") > 0)
-        .orderBy(F.xxhash64("row_id"))
+        for r in drawn.orderBy(F.xxhash64("row_id"))
         .select(F.substring("html", 1, 16_384).alias("html"))
         .limit(DICTIONARY_PAGES)
         .collect()
