@@ -42,7 +42,9 @@ FROM p
 @query("op4_mix_sources", _SQL)
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     found = mixed(table(spark, folder, "documents"), Workspace(spark, "mixture"))
-    first = F.coalesce(F.array_min("positions"), F.lit(2.0))
+    # Documents that are not taken come after all others, spread over as many partitions.
+    after = F.lit(1.0) + F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    first = F.coalesce(F.array_min("positions"), after)
     return found.orderBy(first).select("doc_id", "size", "source_size", "target", "taken")
 
 
