@@ -52,18 +52,26 @@ class Words:
         return np.bincount(self.row, minlength=self.rows)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+        """A 64-bit hash of each word's bytes, made for about ``CHUNK_BYTES`` at a time however long a text is."""
         lengths = self.end - self.start
+        out = np.empty(len(lengths), dtype=np.uint64)
         if not len(lengths):
-            return np.empty(0, dtype=np.uint64)
-        begin = np.cumsum(lengths) - lengths
-        inner = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(begin, lengths)
+            return out
         powers = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, dtype=np.uint64)
         powers[0] = 1
         powers = np.cumprod(powers, dtype=np.uint64)
         codes = mix(np.arange(1, 257, dtype=np.uint64))
-        terms = codes[self.data[np.repeat(self.start, lengths) + inner]] * powers[inner]
-        return mix(np.add.reduceat(terms, begin) ^ (lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+        through = np.cumsum(lengths)
+        at = 0
+        while at < len(lengths):
+            to = max(at + 1, int(np.searchsorted(through, through[at] + CHUNK_BYTES)))
+            own = lengths[at:to]
+            begin = np.cumsum(own) - own
+            inner = np.arange(int(own.sum()), dtype=np.int64) - np.repeat(begin, own)
+            terms = codes[self.data[np.repeat(self.start[at:to], own) + inner]] * powers[inner]
+            out[at:to] = np.add.reduceat(terms, begin)
+            at = to
+        return mix(out ^ (lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
 
 
 def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
