@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.llm.tokens import chunks, mix, words
+from skyweave.llm.tokens import chunks, words
 from skyweave.llm.workspace import Workspace
 
 WINDOW = 5
@@ -35,7 +35,7 @@ class LineLimits:
     """... and so is one of which less than this share of its words is left."""
 
 
-_MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, family long"
+_MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, copy long"
 
 
 def _measured(column: pa.Array) -> dict[str, np.ndarray]:
@@ -49,7 +49,6 @@ def _measured(column: pa.Array) -> dict[str, np.ndarray]:
     total = np.concatenate(([0], np.cumsum(symbol)))
     n_symbols = total[found.offsets[1:]] - total[found.offsets[:-1]]
     repeated = np.zeros(rows, dtype=np.int64)
-    family = np.zeros(rows, dtype=np.uint64)
     if len(h):
         first = np.cumsum(counts) - counts
         at = np.flatnonzero(np.arange(len(h)) + WINDOW - first[found.row] <= counts[found.row])
@@ -68,17 +67,11 @@ def _measured(column: pa.Array) -> dict[str, np.ndarray]:
         for j in range(1, WINDOW):
             spread[j:] |= covered[:-j]
         repeated = np.bincount(found.row, weights=spread[: len(h)], minlength=rows).astype(np.int64)
-        filled = np.flatnonzero(counts)
-        family[filled] = np.add.reduceat(h, first[filled])
-        windowed = np.flatnonzero(np.diff(bounds))
-        if len(windowed):
-            family[windowed] = np.minimum.reduceat(mix(value), bounds[windowed])
     return {
         "n_words": counts,
         "word_chars": word_chars.astype(np.int64),
         "n_symbols": n_symbols,
         "n_repeat_words": repeated,
-        "family": family.view(np.int64),
     }
 
 
@@ -101,7 +94,7 @@ def _measurer():
     import hashlib
 
     schema = pa.schema(
-        [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "family")]
+        [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "copy")]
     )
     pair = pa.list_(pa.struct([("line", pa.int64()), ("size", pa.int32())]))
 
@@ -113,17 +106,18 @@ def _measurer():
             texts = batch.column("text").fill_null("")
             for at, part in chunks(texts):
                 known = _measured(part)
-                again, lines = [], []
+                again, lines, copies = [], [], []
                 for text in part.to_pylist():
                     kept, sizes, twice = _lines(text)
                     again.append(twice)
-                    hashes = np.frombuffer(
-                        b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in kept), dtype=np.int64
-                    )
+                    digests = b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in kept)
+                    copies.append(hashlib.blake2b(digests, digest_size=8).digest())
+                    hashes = np.frombuffer(digests, dtype=np.int64)
                     distinct, where = np.unique(hashes, return_inverse=True)
                     total = np.bincount(where, weights=sizes, minlength=len(distinct)).astype(np.int32)
                     lines.append([{"line": int(a), "size": int(b)} for a, b in zip(distinct, total)])
                 known["n_dup_lines"] = np.array(again, dtype=np.int64)
+                known["copy"] = np.frombuffer(b"".join(copies), dtype=np.int64)
                 columns = [batch.column("host").slice(at, len(part))]
                 columns += [pa.array(known[f.name], pa.int64()) for f in schema]
                 columns += [pa.array(lines, pair), pa.array(number + np.arange(len(part)), pa.int64())]
@@ -143,7 +137,7 @@ def measured(docs: DataFrame, host_col: str, kept_cols: list[str], workspace: Wo
     types = ", ".join(f"`{prefix}{c}` {docs.schema[c].dataType.simpleString()}" for c in kept_cols)
     fields = (
         "host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "family long, lines array<struct<line: long, size: int>>, row_id long"
+        "copy long, lines array<struct<line: long, size: int>>, row_id long"
     )
     return workspace.keep(source.mapInArrow(_measurer(), fields + (f", {types}" if types else "")), "measured")
 
@@ -151,10 +145,10 @@ def measured(docs: DataFrame, host_col: str, kept_cols: list[str], workspace: Wo
 def judged(rows: DataFrame, limits: LineLimits, workspace: Workspace) -> DataFrame:
     """``rows`` of ``measured`` with ``base_failed``, ``removed_words``, ``kept``, and the hashes of removed lines.
 
-    A line counts once for each family of documents of a host: documents with the same smallest window
-    hash, as exact copies always and near copies mostly have, are one family, so that copies alone don't
-    make their text boilerplate. Counts are aggregated before they are shuffled; the few lines above the limits are
-    written and joined back by line, and per document by its row number.
+    A line counts once for each distinct document of a host: documents whose normalised lines are all the same, in the
+    same order, are copies and count as one, so that copies alone don't make their text boilerplate. Counts are aggregated
+    before they are shuffled; the few lines above the limits are written and joined back by line, and per document by its
+    row number.
     """
     removed = _removed(rows, limits, workspace)
     return (
@@ -178,18 +172,18 @@ def _removed(rows: DataFrame, limits: LineLimits, workspace: Workspace) -> DataF
     """``row_id``, ``removed_words`` and ``removed_lines`` of the documents that have lines above the limits."""
     host = F.coalesce("host", F.lit("")), F.col("host").isNull()
     lines = rows.select(
-        F.xxhash64(*host).alias("site"), "family", "row_id", F.explode("lines").alias("x")
-    ).select("site", "family", "row_id", "x.line", "x.size")
+        F.xxhash64(*host).alias("site"), "copy", "row_id", F.explode("lines").alias("x")
+    ).select("site", "copy", "row_id", "x.line", "x.size")
     sites = (
-        rows.select(F.xxhash64(*host).alias("site"), "family").distinct().groupBy("site").agg(F.count("*").alias("documents"))
+        rows.select(F.xxhash64(*host).alias("site"), "copy").distinct().groupBy("site").agg(F.count("*").alias("documents"))
     )
     frequent = (
-        lines.groupBy("site", "line", "family").agg(F.lit(1).alias("one"))
-        .groupBy("site", "line").agg(F.count("*").alias("families"))
-        .where(F.col("families") > limits.documents)
+        lines.groupBy("site", "line", "copy").agg(F.lit(1).alias("one"))
+        .groupBy("site", "line").agg(F.count("*").alias("times"))
+        .where(F.col("times") > limits.documents)
         .join(sites, "site")
-        .where(F.col("families") > F.col("documents") * limits.share)
-        .select("site", "line", "families")
+        .where(F.col("times") > F.col("documents") * limits.share)
+        .select("site", "line", "times")
     )
     frequent = workspace.keep(frequent, "frequent")
     return (

@@ -69,6 +69,20 @@ def test_lines_of_a_host(spark, workspace):
             assert r.removed_words == 0 and r.clean == r.in_text
 
 
+def test_lines_count_distinct_documents(spark, workspace):
+    """Documents that are mostly shared lines are distinct documents, however alike; copies are one."""
+    rng = random.Random(6)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared = [fresh(10) for _ in range(10)]
+    rows = [(i, "\n".join([*shared, fresh(10)]), "a", "x", 1) for i in range(150)]
+    lone = "\n".join(fresh(12) for _ in range(3))
+    rows += [(200 + i, lone.replace(" ", " " * (1 + i % 2)), "a", "x", 1) for i in range(150)]
+    for r in quality(spark.createDataFrame(rows, SCHEMA), workspace).collect():
+        depleted = r.in_doc_id < 200
+        assert r.removed_words == (100 if depleted else 0)
+        assert r.kept == (not depleted)
+
+
 def test_filtered_keeps_columns(spark, workspace):
     rows = [*hosted(), (None, None, None, None, None), (1, " ".join("abcdefghijkl"), None, "x", 3)]
     df = spark.createDataFrame(rows, SCHEMA)
