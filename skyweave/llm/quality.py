@@ -28,13 +28,19 @@ class LineLimits:
     documents: int = 100
     """A line in more distinct documents of a host than this ..."""
     share: float = 0.01
-    """... and in more than this share of the host's distinct documents is removed."""
+    """... and in more than this share of the host's distinct documents is removed, ..."""
+    always: int | None = None
+    """... and so is one in more distinct documents than this, whatever the size of the host."""
     left_words: int = 5
     """A document of which fewer words than this are left is depleted, ..."""
     left_share: float = 0.1
     """... and so is one of which less than this share of its words is left."""
 
 
+HOST_LIMITS = LineLimits(documents=5, share=0.01, always=100)
+"""The limits of the registered query and the pipeline: they follow the host, from a few documents up to a fixed number."""
+
+
 _MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, copy long"
 
 
@@ -177,12 +183,15 @@ def _removed(rows: DataFrame, limits: LineLimits, workspace: Workspace) -> DataF
     sites = (
         rows.select(F.xxhash64(*host).alias("site"), "copy").distinct().groupBy("site").agg(F.count("*").alias("documents"))
     )
+    wide = F.col("times") > F.col("documents") * limits.share
+    if limits.always is not None:
+        wide = wide | (F.col("times") > limits.always)
     frequent = (
         lines.groupBy("site", "line", "copy").agg(F.lit(1).alias("one"))
         .groupBy("site", "line").agg(F.count("*").alias("times"))
         .where(F.col("times") > limits.documents)
         .join(sites, "site")
-        .where(F.col("times") > F.col("documents") * limits.share)
+        .where(wide)
         .select("site", "line", "times")
     )
     frequent = workspace.keep(frequent, "frequent")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.llm.langid import language
-from skyweave.llm.quality import LineLimits, judged, measured
+from skyweave.llm.quality import HOST_LIMITS, judged, measured
 from skyweave.llm.queries.registry import query, table
 from skyweave.llm.toxicity import toxicity
 from skyweave.llm.workspace import Workspace
@@ -14,7 +14,7 @@ from skyweave.llm.workspace import Workspace
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     workspace = Workspace(spark, "quality")
     rows = measured(table(spark, folder, "documents"), "source", ["doc_id"], workspace)
-    return judged(rows, LineLimits(), workspace).select(
+    return judged(rows, HOST_LIMITS, workspace).select(
         F.col("in_doc_id").alias("doc_id"),
         "n_words",
         "word_chars",

@@ -83,6 +83,53 @@ def test_lines_count_distinct_documents(spark, workspace):
         assert r.kept == (not depleted)
 
 
+def boilerplate(rows):
+    """Brute force of the registered limits: the lines that go, by host; and a text's words, removed words and verdict."""
+    normal = lambda line: " ".join(WORD.findall(line)).lower()
+    distinct = {}
+    for text, host in rows:
+        lines = tuple(x for x in map(normal, (text or "").split("\n")) if x)
+        distinct.setdefault(host, set()).add(lines)
+    gone = {}
+    for host, texts in distinct.items():
+        times = Counter(x for lines in texts for x in set(lines))
+        gone[host] = {x for x, n in times.items() if n > 5 and (100 * n > len(texts) or n > 100)}
+
+    def judge(text, host):
+        words = len(WORD.findall(text or ""))
+        removed = sum(len(WORD.findall(x)) for x in (text or "").split("\n") if normal(x) in gone[host])
+        left = words - removed
+        return removed, not measures(text)[-1] and not (removed and (left < 5 or left < 0.1 * words))
+
+    return gone, judge
+
+
+def test_lines_at_the_registered_limits(spark, tmp_path):
+    rng = random.Random(7)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows = [(i, "Menu Home\n" + fresh(20), "small") for i in range(8)]
+    rows += [(10 + i, f"Menu  HOME\n{fresh(3)}", "small") for i in range(4)]
+    rows += [(20 + i, "Menu Home\n" + fresh(20), "rare") for i in range(5)]
+    rows += [(1000 + i, ("Far Side\n" if i < 101 else "Near Side\n" if i < 201 else "") + fresh(12), "large") for i in range(11_000)]
+    rows += [(100 + i, f"Legal notice of the house\nall rights\n{fresh(4)}", "small") for i in range(6)] + [(999, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    gone, judge = boilerplate([r[1:] for r in rows])
+    assert gone["small"] == {"menu home", "legal notice of the house", "all rights"}
+    assert gone["rare"] == set() and gone["large"] == {"far side"}
+    found = {r.doc_id: (r.removed_words, r.kept) for r in QUERIES["op5_quality_rules"](spark, str(tmp_path)).collect()}
+    assert found == {d: judge(t, s) for d, t, s in rows}
+    assert not any(found[100 + i][1] for i in range(6))
+
+
+def test_lines_of_the_given_tables(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    gone, judge = boilerplate([(r.text, r.source) for r in rows.values()])
+    assert any(gone.values())
+    for r in QUERIES["op5_quality_rules"](spark, folder).collect():
+        assert (r.removed_words, r.kept) == judge(rows[r.doc_id].text, rows[r.doc_id].source)
+
+
 def test_filtered_keeps_columns(spark, workspace):
     rows = [*hosted(), (None, None, None, None, None), (1, " ".join("abcdefghijkl"), None, "x", 3)]
     df = spark.createDataFrame(rows, SCHEMA)
