@@ -26,7 +26,7 @@ def _fresh(spark: SparkSession, name: str) -> Workspace:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted of lines many documents of their source share."""
+    """Documents that pass the base rules, without the lines many documents of their source share; those depleted go."""
     return quality.filtered(docs, _fresh(spark, "quality"), limits=quality.HOST_LIMITS)
 
 

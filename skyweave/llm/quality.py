@@ -213,20 +213,27 @@ def quality(docs: DataFrame, workspace: Workspace, host_col: str = "source", lim
 
 
 def filtered(docs: DataFrame, workspace: Workspace, host_col: str = "source", limits: LineLimits = LineLimits()) -> DataFrame:
-    """The kept rows of ``docs``, whole and with their own columns.
+    """The kept rows of ``docs`` with their own columns, their texts without the lines above the limits; ``n_chars``, if
+    there, follows the text.
 
-    The numbers of the depleted documents, few as a rule, are written first: texts are then filtered against them, and
-    moved only if the list is too long for Spark to broadcast.
+    The documents with such lines are written first, by number and line hashes: texts are joined to them, and moved only
+    if the list is too long for Spark to broadcast.
     """
     rows = measured(docs, host_col, docs.columns, workspace)
-    removed = _removed(rows, limits, workspace).select("row_id", "removed_words")
-    depleted = rows.select("row_id", "n_words").join(removed, "row_id").where(_depleted(limits)).select("row_id")
-    found = rows.where(~_failed()).join(workspace.keep(depleted, "depleted"), "row_id", "left_anti")
+    removed = workspace.keep(_removed(rows, limits, workspace), "removed")
+    found = rows.where(~_failed()).join(removed, "row_id", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
+    touched = F.col("removed_lines").isNotNull()
+    # Only texts with lines to remove go through Python.
+    clean = without_lines(F.when(touched, F.col("in_text")), F.col("removed_lines"))
+    found = found.where(~_depleted(limits)).withColumn("in_text", F.coalesce(clean, F.col("in_text")))
+    if "n_chars" in docs.columns:
+        size = F.length("in_text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("in_n_chars", F.when(touched, size).otherwise(F.col("in_n_chars")))
     return found.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def without_lines(text, removed):
-    """``text`` (column) without the lines whose hashes stand in ``removed``; for callers who want cleaned texts."""
+    """``text`` (column) without the lines whose hashes stand in ``removed``."""
 
     @F.pandas_udf("string")
     def clean(texts, lists):

@@ -44,6 +44,31 @@ def test_stages(spark, folder, workspace):
     assert corpus_pipeline.run(spark, folder).count() == packed.count()
 
 
+def test_quality_stage_removes_lines(spark, workspace):
+    """The texts the stage hands on, against brute force."""
+    from test_documents import boilerplate
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = [
+        (-1 - i, f"Menu  Home\n\n word{i} and ten more {i} b c d e f g é\n\tmenu home \n", "en", "odd" if i % 2 else None, None)
+        for i in range(14)
+    ]
+    odd.append((-99, "Menu Home\n" + " ".join(f"v{i}" for i in range(20)), "en", "other", 7))
+    rows = [*map(tuple, docs.collect()), *odd]
+    gone, judge = boilerplate([(r[1], r[3]) for r in rows])
+    assert gone["odd"] == gone[None] == {"menu home"} and not gone["other"]
+    expected = {}
+    for doc_id, text, lang, source, n_chars in rows:
+        removed, kept = judge(text, source)
+        if kept:
+            lines = (text or "").split("\n")
+            clean = "\n".join(x for x in lines if " ".join(x.split()).lower() not in gone[source]) if removed else text
+            expected[doc_id] = (doc_id, clean, lang, source, len(clean) if removed else n_chars)
+    stage = workspace.keep(corpus_pipeline.quality_rules(spark, spark.createDataFrame(rows, docs.schema), ""), "quality")
+    assert {r.doc_id: tuple(r) for r in stage.collect()} == expected
+    assert sum(expected[r[0]][1] != r[1] for r in rows if r[0] in expected) > 100
+
+
 def test_empty_documents(spark, workspace):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES:
