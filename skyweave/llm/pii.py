@@ -212,8 +212,8 @@ def personal_data(docs: DataFrame, workspace: Workspace, how: Disclosure = Discl
 
 
 def sanitised(text: Column, base: Column, terms: Column) -> Column:
-    """``text`` with base spans replaced by their kind, disclosing terms by what they look like, or removed. Of spans
-    that overlap, the one that starts first holds, and the longer of two that start together."""
+    """``text`` with base spans replaced by their kind, disclosing terms by what they look like, or removed. Spans
+    that overlap are replaced as one, by the sign of the one that starts first, or of the longer of two that start together."""
     def ordered(s: Column, sign: Column) -> Column:
         return F.struct(s["start"].alias("start"), (-s["end"]).alias("before"), s["end"].alias("end"), sign.alias("sign"))
 
@@ -230,7 +230,7 @@ def sanitised(text: Column, base: Column, terms: Column) -> Column:
         fresh = s["start"] >= acc["at"]
         out = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), s["sign"])
         return F.struct(
-            F.when(fresh, s["end"]).otherwise(acc["at"]).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out")
+            F.greatest(s["end"], acc["at"]).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out")
         )
 
     done = F.aggregate(

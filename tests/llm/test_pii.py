@@ -112,6 +112,15 @@ def test_sanitised_overlaps(spark):
     assert df.select(sanitised(F.col("t"), F.col("base"), none)).first()[0] == "call [PHONE] or [EMAIL] now"
 
 
+def test_sanitised_tails(spark):
+    """A span that starts in an earlier one and ends behind it leaves nothing in the text."""
+    texts = ["pay x@mail.4111 1111 1111 1111 now", "pay x@mail.4111 1111 1111 1111", "a@b.cd, x@mail.4111-1111-1111-1111 e@f.gh"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("base", base_spans(F.col("t")))
+    none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
+    found = [r[0] for r in df.orderBy("i").select(sanitised(F.col("t"), F.col("base"), none)).collect()]
+    assert found == ["pay [EMAIL] now", "pay [EMAIL]", "[EMAIL], [EMAIL] [EMAIL]"]
+
+
 def test_digest_of_the_query(spark, folder, con):
     from skyweave.llm.queries import QUERIES
 
