@@ -7,13 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.llm.tokens import mix, odd_numbers
 from skyweave.llm.workspace import Workspace, numbered
 
-LETTERS = r"[A-Za-zÀ-ÿ]+"
+LETTERS = "[A-Za-zÀ-ÿ]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _U = np.uint64
 
@@ -22,21 +22,21 @@ def word_counts(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    pattern: str = LETTERS,
+    letters: str = LETTERS,
     min_length: int = 7,
     min_count: int = 2,
     change: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """``word``, ``n``: how often each word stands in all texts.
 
-    Words are the longest runs that match ``pattern``, with A-Z in lower case; ``change`` gets the document's id as
-    text and the word and gives what is counted in its place, at most one code point longer. Words under ``min_length`` code
+    Words are the longest runs of ``letters`` (a class of a regular expression), with A-Z in lower case; ``change`` gets the document's id as
+    text and the word and gives what is counted in its place, never a longer one. Words under ``min_length`` code
     points or ``min_count`` occurrences are left out. Null texts have no words, a null id is an empty one.
     """
-    runs = F.regexp_extract_all(F.translate(F.col(f"`{text_col}`"), _UPPER, _LOWER), F.lit(pattern), F.lit(0))
-    least = min_length - (change is not None)
+    runs = F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(f"{letters}{{{min_length},}}"), F.lit(0))
     name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
-    each = docs.select(name.alias("id"), F.explode(F.filter(runs, lambda w: F.length(w) >= least)).alias("run"))
+    each = docs.select(name.alias("id"), F.explode(runs).alias("run"))
+    each = each.select("id", F.translate("run", _UPPER, _LOWER).alias("run"))
     word = F.col("run") if change is None else change(F.col("id"), F.col("run"))
     return (
         each.select(word.alias("word"))
@@ -47,118 +47,148 @@ def word_counts(
     )
 
 
-def _half(length: np.ndarray, trie: int) -> np.ndarray:
-    """Where the edits of a word begin: in the trie of words behind the first half, in that of reversed words behind the rest."""
-    return length // 2 if trie == 0 else length - length // 2
-
-
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per prefix from one before the half on: its hash, the code point behind it (-1 at the end of the word)."""
-    factor = odd_numbers(1212, 1)[0]
+    """A row per prefix of each word (key, word; odd keys are reversed words) from one before its half on: a hash of trie, depth and prefix, and the code point
+    behind it, -1 at the end of the word.
+
+    The half is where the edits of a word begin: in the trie of words behind the first half, in that of reversed words behind the rest.
+    """
+    factor, of_trie, of_depth = odd_numbers(1212, 3)
     for batch in batches:
-        tries, numbers, words = (c.to_pylist() for c in batch.columns)
-        for trie, number, word in zip(tries, numbers, words):
-            codes = np.frombuffer(word.encode("utf-32-le"), dtype=np.uint32)
-            size = len(codes)
-            powers = np.full(size, factor, dtype=np.uint64)
-            powers[:1] = 1
-            terms = mix(codes.astype(np.uint64) + _U(1)) * np.cumprod(powers, dtype=np.uint64)
-            hashes = mix(np.concatenate(([0], np.cumsum(terms, dtype=np.uint64))).astype(np.uint64) + _U(trie))
-            half = int(_half(np.array(size), trie))
-            depth = np.arange(max(half - 1, 0), size + 1)
-            ahead = np.append(codes.astype(np.int64), -1).astype(np.int32)[depth]
-            for at in range(0, len(depth), 65_536):
-                part = depth[at : at + 65_536]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(part), trie, dtype=np.int32)),
-                        pa.array(np.full(len(part), number, dtype=np.int64)),
-                        pa.array(part.astype(np.int32)),
-                        pa.array(hashes[part].view(np.int64)),
-                        pa.array(ahead[at : at + 65_536]),
-                        pa.array(np.full(len(part), half, dtype=np.int32)),
-                    ],
-                    names=["trie", "word_no", "depth", "node", "ahead", "half"],
-                )
-
-
-_PREFIXES = "trie int, word_no long, depth int, node long, ahead int, half int"
-
-
-def _edges(both: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
-    """The edge table of the tries and the states to start from.
+        for at in range(0, batch.num_rows, 4096):
+            keys, texts = (c.slice(at, 4096) for c in batch.columns)
+            words = texts.to_pylist()
+            sizes = np.array([len(w) for w in words], dtype=np.int64)
+            codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+            begin = np.cumsum(sizes) - sizes
+            inner = np.arange(len(codes)) - np.repeat(begin, sizes)
+            powers = np.full(int(sizes.max(initial=0)) + 1, factor, dtype=np.uint64)
+            powers[0] = 1
+            terms = mix(codes.astype(np.uint64) + _U(1)) * np.cumprod(powers, dtype=np.uint64)[inner]
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+            keys = keys.to_numpy()
+            tries = keys & 1
+            half = np.where(tries == 0, sizes // 2, sizes - sizes // 2)
+            first = np.maximum(half - 1, 0)
+            counts = sizes - first + 1
+            row = np.repeat(np.arange(len(words)), counts)
+            depth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + first[row]
+            place = begin[row] + depth
+            hashes = sums[place] - sums[begin[row]]
+            nodes = mix(hashes + of_trie * tries[row].astype(np.uint64) + of_depth * depth.astype(np.uint64))
+            ahead = np.where(depth == sizes[row], -1, np.append(codes, 0)[place].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys[row]),
+                    texts.take(pa.array(row)),
+                    pa.array(depth.astype(np.int32)),
+                    pa.array(nodes.view(np.int64)),
+                    pa.array(ahead.astype(np.int32)),
+                    pa.array(depth == half[row]),
+                ],
+                names=["key", "word", "depth", "node", "ahead", "begins"],
+            )
+
+
+_PREFIXES = "key long, word string, depth int, node long, ahead int, begins boolean"
+
+
+MASKS = 4
+
+
+def _rest(word: Column, at: Column) -> Column:
+    """A hash of what stands behind a place of a word."""
+    return F.xxhash64(F.substr(word, at + 1))
+
+
+def _bit(hashed: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), hashed.bitwiseAND(63).cast("int"))
+
+
+def _which(hashed: Column) -> Column:
+    return F.shiftright(hashed, 6).bitwiseAND(MASKS - 1)
+
+
+def _trie(both: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The edge table of the tries, and the states without an edit.
 
     Nodes are the prefixes at which words part or end and those at which a word's edits begin; what lies between is the label of
-    an edge. Each edge comes from one of the words below it: the one whose prefixes go back furthest, so that it knows where the edge begins.
+    an edge. An edge also has masks of what stands behind its end in the words below: one of 256 bits for each different rest. A word's
+    states without an edit are the nodes on its own way.
     """
-    prefixes = workspace.keep(both.mapInArrow(_prefixes, _PREFIXES), "prefixes")
+    prefixes = both.mapInArrow(_prefixes, _PREFIXES)
     nodes = (
-        prefixes.groupBy("trie", "depth", "node")
-        .agg(
-            F.min("ahead").alias("low"), F.max("ahead").alias("high"),
-            F.max(F.col("half") == F.col("depth")).alias("begins"), F.min(F.struct("half", "word_no"))["word_no"].alias("owner"),
-        )
+        prefixes.groupBy("node")
+        .agg(F.min("ahead").alias("low"), F.max("ahead").alias("high"), F.max("begins").alias("begins"))
         .where((F.col("low") != F.col("high")) | (F.col("low") == -1) | F.col("begins"))
-        .select("trie", "depth", "node", "owner", (F.col("low") == -1).alias("ends"))
-    )
-    place = F.struct("depth", "node", (F.col("owner") == F.col("word_no")).alias("own"), "half", "ends")
-    paths = prefixes.join(nodes, ["trie", "depth", "node"]).groupBy("trie", "word_no").agg(
-        F.sort_array(F.collect_list(place)).alias("path")
+        .select("node")
     )
-    routes = workspace.keep(paths.join(both, ["trie", "word_no"]), "routes")
-    step = F.transform(
-        F.filter(F.sequence(F.lit(1), F.size("path") - 1), lambda i: (i >= 1) & F.element_at("path", i + 1)["own"]),
-        lambda i: F.struct(
-            F.element_at("path", i)["depth"].alias("depth"),
-            F.element_at("path", i)["node"].alias("node"),
-            F.element_at("path", i + 1)["depth"].alias("to_depth"),
-            F.element_at("path", i + 1)["node"].alias("to_node"),
-            F.element_at("path", i + 1)["ends"].alias("ends"),
+    # A word's nodes are at most as many as its letters.
+    way = Window.partitionBy("key").orderBy("depth")
+    size, trie = F.length("word"), F.col("key").bitwiseAND(1)
+    half = F.when(trie == 0, F.floor(size / 2)).otherwise(F.ceil(size / 2))
+    steps = workspace.keep(
+        prefixes.join(nodes, "node").select(
+            trie.cast("byte").alias("trie"), "word", "depth", "node", (F.col("depth") >= half).alias("own"),
+            F.lag("node").over(way).alias("from_node"), F.lag("depth").over(way).alias("from_depth"),
         ),
-    )
-    edges = routes.where(F.size("path") > 1).select("trie", "word", F.explode(step).alias("e")).select(
-        "trie",
-        "e.depth",
-        "e.node",
-        "e.to_depth",
-        "e.to_node",
-        F.substr("word", F.col("e.depth") + 1, F.col("e.to_depth") - F.col("e.depth")).alias("label"),
-        F.when(F.col("e.ends"), F.substr("word", F.lit(1), F.col("e.to_depth"))).alias("ends"),
-    )
-    first = F.filter("path", lambda p: p["depth"] == p["half"])[0]
-    begin = routes.select("trie", "word", first["depth"].alias("depth"), first["node"].alias("node"))
-    begin = begin.withColumn("at", F.explode(F.array(F.col("depth"), F.col("depth") + 1)))
-    states = begin.select("trie", "word", "at", "depth", "node", (F.col("at") - F.col("depth")).alias("edits"))
-    return edges, states
-
-
-def _moved(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """Every state moved along every edge it fits: exactly, or with the one edit it may still make on the way."""
-    size = F.length("label")
-    ahead = F.substr("word", F.col("at") + 1, size + 1)
-    here, fresh = F.col("at"), F.col("edits") == 0
+        "steps",
+    )
+    label = F.substr("word", F.col("from_depth") + 1, F.col("depth") - F.col("from_depth"))
+    edges = (
+        steps.where("from_node is not null")
+        .select(
+            "node", "from_node", label.alias("label"), (F.col("depth") == F.length("word")).alias("ends"),
+            _rest(F.col("word"), F.col("depth")).alias("rest"),
+        )
+        .groupBy("node")
+        .agg(
+            F.first("from_node").alias("from_node"), F.first("label").alias("label"), F.max("ends").alias("ends"),
+            *[F.bit_or(F.when(_which(F.col("rest")) == i, _bit(F.col("rest")))).alias(f"mask{i}") for i in range(MASKS)],
+        )
+        .select(
+            F.col("from_node").alias("node"), "label", F.col("node").alias("to_node"), "ends", *[f"mask{i}" for i in range(MASKS)]
+        )
+    )
+    states = steps.where("own").select("trie", "word", F.col("depth").alias("at"), "node")
+    return workspace.keep(edges, "edges"), states
 
-    def near(taken: Column) -> Column:
-        part = F.substr(ahead, F.lit(1), taken)
-        return fresh & (F.length(part) == taken) & (F.levenshtein(part, F.col("label"), 1) == 1)
 
-    def to(at: Column, edits: Column) -> Column:
-        return F.struct(at.alias("at"), edits.alias("edits"))
+def _edited(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """The states without an edit moved along every edge with one: a code point missing, replaced or too many.
 
-    outcomes = F.array(
-        F.when(F.substr(ahead, F.lit(1), size) == F.col("label"), to(here + size, F.col("edits"))),
-        F.when(near(size), to(here + size, F.lit(1))),
-        F.when(near(size - 1), to(here + size - 1, F.lit(1))),
-        F.when(near(size + 1), to(here + size + 1, F.lit(1))),
-    )
+    A state goes on only if what is left of the word has its bit in the edge's masks.
+    """
+    masks = [f"mask{i}" for i in range(MASKS)]
+    rest = F.col("rest")
+    mask = reduce(lambda found, i: found.when(_which(rest) == i, F.col(masks[i])), range(1, MASKS), F.when(_which(rest) == 0, F.col(masks[0])))
+    to, at = F.col("to"), F.col("at")
+    ends = F.explode(F.array(*[F.col("at") + F.length("label") + F.lit(d) for d in (-1, 0, 1)]))
+    part = F.substr("word", at + 1, to - at)
     return (
-        states.join(edges, ["trie", "depth", "node"])
-        .select("trie", "word", "ends", "to_depth", "to_node", F.explode(F.array_compact(outcomes)).alias("s"))
+        states.join(edges, "node")
+        .select("trie", "word", "at", "label", "to_node", "ends", *masks, ends.alias("to"))
+        .where(to <= F.length("word"))
+        .select("*", _rest(F.col("word"), to).alias("rest"))
+        .where(mask.bitwiseAND(_bit(rest)) != 0)
+        .where(F.levenshtein(part, F.col("label"), 1) == 1)
         .select(
-            "trie", "word", "ends", F.col("s.at").alias("at"), F.col("to_depth").alias("depth"),
-            F.col("to_node").alias("node"), F.col("s.edits").alias("edits"),
+            "trie", "word", to.alias("at"), F.col("to_node").alias("node"), "ends",
+            F.concat(F.substr("word", F.lit(1), at), F.col("label"), F.substr("word", to + 1)).alias("near"),
         )
-        .distinct()
+    )
+
+
+def _followed(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """States with their edit moved along the edge whose label comes next in the word."""
+    size = F.length("label")
+    ahead = F.substr("word", F.col("at") + 1, F.lit(1))
+    by_letter = edges.select("node", F.substr("label", F.lit(1), F.lit(1)).alias("letter"), "label", "to_node", "ends")
+    return (
+        states.drop("ends").withColumn("letter", ahead)
+        .join(by_letter, ["node", "letter"])
+        .where(F.substr("word", F.col("at") + 1, size) == F.col("label"))
+        .select("trie", "word", (F.col("at") + size).alias("at"), F.col("to_node").alias("node"), "ends", "near")
     )
 
 
@@ -166,29 +196,29 @@ def neighbours(words: DataFrame, workspace: Workspace) -> DataFrame:
     """``word``, ``near``: every pair of different words one inserted, deleted or replaced code point apart, in both orders.
 
     ``words`` has distinct texts in ``word``, of four code points or more; shorter ones and nulls have no pairs. Two words one
-    edit apart share the half of either before the edit or the half behind it. So states (word, place, node, edits) start at the node
-    of a word's first half in a trie of the words, and at that of its reversed second half in a trie of the reversed words, and walk both tries,
-    a level of nodes at a time, by joins with the table of edges. From a node there are at most as many edges as there are
-    letters, so the states grow with the words. Rounds follow the number of forks behind a half, not the length of words. Nodes
-    are known by a 64-bit hash of their prefix; each pair found is compared once more.
+    edit apart share the half of either before the edit or the half behind it. So the walk starts at the node of a word's first half in
+    a trie of the words, and at that of its reversed second half in a trie of the reversed words. States are (word, place, node,
+    edits): those without an edit are the nodes on the word's own way; joined with the table of edges they become states with
+    one edit, which go on level by level, a join with the edges each, until they end where a word does. From a node
+    there are at most as many edges as there are letters, so the states grow with the words; and rounds follow the number
+    of forks behind a half, not the length of words. Nodes are known by a 64-bit hash of their prefix, so each pair found is compared
+    once more.
     """
     known = words.select("word").where(F.length("word") >= 4)
-    named = workspace.keep(numbered(known, "word_no"), "words")
-    both = named.select(F.lit(0).alias("trie"), "word_no", "word").union(
-        named.select(F.lit(1).alias("trie"), "word_no", F.reverse("word").alias("word"))
+    named = workspace.keep(numbered(known, "key"), "words")
+    both = named.select((2 * F.col("key")).alias("key"), "word").union(
+        named.select((2 * F.col("key") + 1).alias("key"), F.reverse("word").alias("word"))
     )
-    edges, states = _edges(both, workspace)
-    edges, states = workspace.keep(edges, "edges"), workspace.keep(states, "states-0")
-    found, number = [], 0
-    while not states.isEmpty():
+    edges, states = _trie(both, workspace)
+    states = workspace.keep(_edited(states, edges), "states-1")
+    workspace.drop("steps")
+    done = (F.col("at") == F.length("word")) & F.col("ends")
+    found, number = [states.where(done)], 1
+    while not (states := states.where(F.col("at") < F.length("word"))).isEmpty():
         number += 1
-        moved = workspace.keep(_moved(states, edges), f"states-{number}")
-        done = (F.col("edits") == 1) & (F.col("at") == F.length("word"))
-        found.append(moved.where(done & F.col("ends").isNotNull()).select("trie", "word", "ends"))
-        states = moved.where(~done).drop("ends")
-    if not found:
-        return words.select("word", F.col("word").alias("near")).limit(0)
-    turned = [F.when(F.col("trie") == 0, F.col(c)).otherwise(F.reverse(c)).alias(n) for c, n in (("word", "word"), ("ends", "near"))]
+        states = workspace.keep(_followed(states, edges), f"states-{number}")
+        found.append(states.where(done))
+    turned = [F.when(F.col("trie") == 0, F.col(c)).otherwise(F.reverse(c)).alias(c) for c in ("word", "near")]
     pairs = reduce(DataFrame.unionByName, found).select(*turned).distinct()
     return workspace.keep(pairs.where(F.levenshtein("word", "near", 1) == 1), "pairs")
 
