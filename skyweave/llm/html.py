@@ -22,6 +22,9 @@ STOP_LOW = 0.30
 STOP_HIGH = 0.32
 LINKS_OUTSIDE = 0.2
 LINKS_INSIDE = 0.6
+LIFT_TIMES = 4
+DEEPEST = 16
+"""Marks inside one another that are told apart."""
 
 # Frequent function words of some languages.
 STOP_WORDS = frozenset(
@@ -59,13 +62,18 @@ APART_WORDS = frozenset(
     notice notices notification overlay pager pagination popup promo promotion promoted recommended related replies respond
     share sharing sidebar signup skyscraper social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus related recommended replies respond".split())
+# Of these nothing is lifted: what readers say, what stands elsewhere, and what nobody sees.
+FIRM = frozenset(
+    "hidden nav footer aside menu dialog button search head header navigation banner contentinfo complementary alertdialog alert".split()
+) | {w.upper() for w in COMMENT_WORDS}
 TRANSIENT = frozenset("ad ads adv advert advertisement banner consent cookie cookies gdpr notice overlay popup promo".split())
 MAIN_WORDS = frozenset("article content main post entry story articlebody maincontent".split())
 
 # All repeats are possessive and stop at the next "<", so broken markup costs no more than good markup.
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)
-    |<(/?)([a-zA-Z][^\s/<>"']*+)((?:[^<>"']|"[^"]{0,4000}+"|'[^']{0,4000}+')*+)>
+    |<(/?)([a-zA-Z][^\s/<>"']*+)((?:[^<>"']|"[^"]*+"|'[^']*+')*+)>
     |<(/?)([a-zA-Z][^\s/<>"']*+)([^<>]*+)>
     |<[!?/][^<>]*+>""",
     re.S | re.X,
@@ -85,11 +93,13 @@ class Block:
     main: int
     """The main container the block stands in, 0 for none."""
     heading: bool
+    marks: tuple[int, ...] = ()
+    """The elements that set it apart, as numbers; -1 for one that is not to be lifted."""
     label: str = ""
 
 
 def _place(name: str, attributes: str) -> tuple[str, bool]:
-    """Why an element stands apart ('' if it doesn't), and whether it is a main container."""
+    """Why an element stands apart ('' if it doesn't), by a word in capitals if its class or id says so, and whether it is a main container."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
     words = set()
     for part in (found.get("class", "") + " " + found.get("id", "")).split():
@@ -104,21 +114,23 @@ def _place(name: str, attributes: str) -> tuple[str, bool]:
         return name, False
     if role in APART_ROLES:
         return role, False
+    main = name in ("article", "main") or role in ("main", "article") or bool(words & MAIN_WORDS)
     if name != "main" and (words & APART_WORDS):
-        return min(words & APART_WORDS, key=lambda w: (w in TRANSIENT, w)), False
-    return "", name in ("article", "main") or role in ("main", "article") or bool(words & MAIN_WORDS)
+        return min(words & APART_WORDS, key=lambda w: (w not in COMMENT_WORDS, w in TRANSIENT, w)).upper(), main
+    return "", main
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, with references decoded and white space made single spaces."""
     out: list[Block] = []
-    # Open elements: name, why it stands apart, whether it or one around it does, the main container it is in.
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
+    # Open elements: name, why it stands apart, the marks of it and of those around it, the main container it is in.
+    stack: list[tuple[str, str, tuple[int, ...], int]] = [("", "", (), 0)]
     open_names: Counter[str] = Counter()
     parts: list[str] = []
     linked = 0
     link = False
     mains = 0
+    numbers = 0
     breaks = 0
     at = 0
 
@@ -128,9 +140,9 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                _, _, apart, main = stack[-1]
+                _, _, marks, main = stack[-1]
                 heading = any(open_names[h] for h in HEADINGS)
-                out.append(Block(text, min(linked, len(text)), apart, main, heading))
+                out.append(Block(text, min(linked, len(text)), bool(marks), main, heading, marks))
             parts.clear()
         linked = 0
 
@@ -191,17 +203,21 @@ def blocks(page: str) -> list[Block]:
         if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name:
             open_names[stack.pop()[0]] -= 1
         why, main = _place(name, attributes)
-        _, _, apart, within = stack[-1]
+        _, _, marks, within = stack[-1]
         if name == "header" and not within:
             why = why or "header"
-        if main and not why:
+        if main and why not in FIRM:
             mains += 1
             within = mains
-            if apart and name in ("article", "main") and all(not x[1] or x[1] in TRANSIENT for x in stack):
+            if marks and not why and name in ("article", "main") and all(not x[1] or x[1].lower() in TRANSIENT for x in stack):
                 # An advert or a notice that was never closed.
-                stack[:] = [(x[0], "", False, x[3]) for x in stack]
-                apart = False
-        stack.append((name, why, apart or bool(why), within))
+                stack[:] = [(x[0], "", (), x[3]) for x in stack]
+                marks = ()
+        if why:
+            numbers += 1
+            # More marks than a few say no more, and a page of open elements stays cheap.
+            marks = (-1,) if why in FIRM or -1 in marks or len(marks) >= DEEPEST else (*marks, numbers)
+        stack.append((name, why, marks, within))
         open_names[name] += 1
     flush()
     return out
@@ -224,6 +240,33 @@ def _first_pass(block: Block) -> str:
     return "near" if density >= STOP_LOW or block.main else "thin"
 
 
+def lifted(found: list[Block]) -> None:
+    """Take back the marks around the main text where they stand around the page instead of beside its text.
+
+    A form or the name of a class is only a hint: some pages are one form, and some wrappers are called after the sidebar in them.
+    Where no unmarked main container has any text, the marks that most of the good text has are lifted, if it is
+    LIFT_TIMES the good text without any mark; marks within, as of a real sidebar, stay. Reader comments, menus, footers and what is
+    hidden are never lifted.
+    """
+    if any(b.main and not b.marks for b in found):
+        return
+    weight: Counter[tuple[int, ...]] = Counter()
+    for b in found:
+        if -1 in b.marks:
+            continue
+        free = Block(b.text, b.linked, False, b.main, b.heading)
+        if _first_pass(free) in ("good", "near"):
+            weight[b.marks] += len(b.text)
+    plain = weight.pop((), 0)
+    if not weight:
+        return
+    best, size = max(weight.items(), key=lambda x: (x[1], -len(x[0])))
+    if size > LIFT_TIMES * plain:
+        for b in found:
+            if b.marks and set(b.marks) <= set(best):
+                b.marks, b.apart = (), False
+
+
 def labelled(found: list[Block]) -> list[Block]:
     """Blocks with the label good or bad.
 
@@ -232,8 +275,9 @@ def labelled(found: list[Block]) -> list[Block]:
     between one of each it follows the nearer, a near-good block and a heading the good one. On a page without a main
     container and without a good block, all undecided blocks are good: there is nothing that speaks against them.
     """
+    lifted(found)
     first = [_first_pass(b) for b in found]
-    plain = not any(b.main for b in found) and "good" not in first
+    plain = not any(b.main and not b.apart for b in found) and "good" not in first
     for i, (block, label) in enumerate(zip(found, first)):
         if label in ("good", "bad", "apart") or plain:
             block.label = "bad" if label in ("bad", "apart") else "good"

@@ -40,20 +40,67 @@ class Disclosure:
     remove: float = 0.85
 
 
+PIECE = 1024
+"""Code points of the pieces a text is cut into where parts of it are looked up by place."""
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _in_blocks(items: Column) -> Column:
+    """An array cut into about as many blocks as a block has items."""
+    def cut(a: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(a))).cast("int")
+        numbers = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / width).cast("int"))
+        return F.transform(numbers, lambda k: F.slice(a, k * width + 1, width))
+
+    return F.when(F.size(items) > 0, _bound(items, cut)).otherwise(F.slice(F.array(items), 1, 0))
+
+
+def _accumulated(items: Column, start: Column, empty: Column, step) -> Column:
+    """The rows ``step`` makes of the items, in order: ``step(state, item)`` gives (state, rows). Rows are gathered block by block,
+    so that a long array is not copied at every item."""
+    def add(acc: Column, x: Column) -> Column:
+        return _bound(step(acc["state"], x), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["rows"]).alias("out")))
+
+    def add_block(acc: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(acc["state"].alias("state"), empty.alias("out")), add)
+        return _bound(inner, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))
+
+    return F.aggregate(_in_blocks(items), F.struct(start.alias("state"), empty.alias("out")), add_block, lambda acc: acc["out"])
+
+
 def located(text: Column, pattern: str) -> Column:
     """All matches as array of (start, end, value): code points, end exclusive. The text between the matches gives their places."""
     parts = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(F.slice(parts, 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("value")))
+
+    def gaps(f: Column) -> Column:
+        return F.zip_with(F.slice(parts, 1, F.size(f)), f, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("value")))
+
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
+    def step(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
         end = start + F.length(x["value"])
         one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return F.struct(end.alias("state"), F.array(one).alias("rows"))
+
+    return _accumulated(_bound(found, gaps), F.lit(0), empty, step)
+
 
-    return F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _from_pieces(pieces: Column, start: Column, end: Column) -> Column:
+    """The part of a text from ``start`` to ``end``, from its pieces: costs as much as the part is long, wherever it stands."""
+    first = F.floor(start / PIECE).cast("int")
+    count = F.floor((F.greatest(end, start + 1) - 1) / PIECE).cast("int") - first + 1
+    near = F.array_join(F.slice(pieces, first + 1, count), "")
+    return F.when(end > start, F.substr(near, start - first * PIECE + 1, end - start)).otherwise("")
 
 
 def _digits(value: Column) -> Column:
@@ -100,30 +147,49 @@ def base_spans(text: Column) -> Column:
 def _near(text: Column, spans: Column, how: Disclosure) -> Column:
     """The terms around each span, as array of (entity, context, term, start, end); terms that touch a span are left out."""
 
-    def around(span: Column) -> Column:
+    def around(span: Column, pieces: Column, blocks: Column, size: Column) -> Column:
         low = F.greatest(span["start"] - how.reach, F.lit(0))
-        before = F.substr(text, low + 1, span["start"] - low)
+        high = F.least(span["end"] + how.reach, size)
+        before = _from_pieces(pieces, low, span["start"])
         before = F.when(low > 0, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
-        after = F.substr(text, span["end"] + 1, F.lit(how.reach))
-        whole = F.length(after) < how.reach
-        after = F.when(whole, after).otherwise(F.regexp_replace(after, r"[\p{L}\p{N}]+$", ""))
+        after = _from_pieces(pieces, span["end"], high)
+        after = F.when(high >= size, after).otherwise(F.regexp_replace(after, r"[\p{L}\p{N}]+$", ""))
         entity = F.xxhash64(span["kind"], F.lower(span["value"]))
-        context = F.xxhash64(before, after)
+        beside = F.flatten(
+            F.transform(
+                F.filter(blocks, lambda b: (b["low"] < high) & (b["high"] > low)),
+                lambda b: F.filter(b["spans"], lambda s: (s["start"] < high) & (s["end"] > low)),
+            )
+        )
+
+        def terms(sides: Column) -> Column:
+            context = F.xxhash64(sides["before"], sides["after"])
 
-        def terms(part: Column, shift: Column) -> Column:
-            return F.transform(
-                F.filter(located(part, TERM), lambda m: F.length(m["value"]) >= 3),
-                lambda m: F.struct(
-                    entity.alias("entity"), context.alias("context"), F.lower(m["value"]).alias("term"),
-                    (m["start"] + shift).alias("start"), (m["end"] + shift).alias("end"),
-                ),
-            )
+            def of(part: Column, shift: Column) -> Column:
+                return F.transform(
+                    F.filter(located(part, TERM), lambda m: F.length(m["value"]) >= 3),
+                    lambda m: F.struct(
+                        entity.alias("entity"), context.alias("context"), F.lower(m["value"]).alias("term"),
+                        (m["start"] + shift).alias("start"), (m["end"] + shift).alias("end"),
+                    ),
+                )
 
-        found = F.concat(terms(before, span["start"] - F.length(before)), terms(after, span["end"]))
-        free = lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
-        return F.filter(found, free)
+            found = F.concat(of(sides["before"], span["start"] - F.length(sides["before"])), of(sides["after"], span["end"]))
+            free = lambda t: ~F.exists(sides["beside"], lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+            return F.filter(found, free)
+
+        return _bound(F.struct(before.alias("before"), after.alias("after"), beside.alias("beside")), terms)
+
+    def block(spans_of: Column) -> Column:
+        return F.struct(
+            spans_of[0]["start"].alias("low"), F.array_max(F.transform(spans_of, lambda s: s["end"])).alias("high"), spans_of.alias("spans")
+        )
 
-    return F.when(F.size(spans) > 0, F.flatten(F.transform(spans, around)))
+    # Spans in the order of their places, in blocks with their range, so that those beside a place are found without meeting all.
+    placed = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    given = F.struct(_pieces(text).alias("pieces"), F.transform(_in_blocks(placed), block).alias("blocks"), F.length(text).alias("size"))
+    every = _bound(given, lambda g: F.flatten(F.transform(spans, lambda s: around(s, g["pieces"], g["blocks"], g["size"]))))
+    return F.when(F.size(spans) > 0, every)
 
 
 def found_in(docs: DataFrame, workspace: Workspace, how: Disclosure, kept_cols: list[str] = ()) -> DataFrame:
@@ -196,7 +262,8 @@ def personal_data(docs: DataFrame, workspace: Workspace, how: Disclosure = Discl
     remove), and ``kept_cols`` under the prefix ``in_``.
 
     Null and empty texts have no spans. Repeated rows are documents of their own and get the same spans. Null ids stay null,
-    an empty table gives an empty result. Very long texts are matched whole.
+    an empty table gives an empty result. Very long texts are matched whole; the work on a text grows with its length and, for n matches,
+    with n times the root of n.
     """
     rows = found_in(docs, workspace, how, kept_cols)
     disclosed = disclosing(rows, docs, workspace, how)
@@ -225,18 +292,26 @@ def sanitised(text: Column, base: Column, terms: Column) -> Column:
         return ordered(t, F.when(t["remove"], "").otherwise(kind))
 
     spans = F.array_sort(F.concat(named, F.transform(terms, sign)))
+    none = F.array().cast("array<struct<start:int,end:int,sign:string>>")
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        out = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), s["sign"])
-        return F.struct(
-            F.greatest(s["end"], acc["at"]).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out")
-        )
+    def one(s: Column) -> Column:
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["sign"].alias("sign"))
 
-    done = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        step,
-        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def step(held: Column, s: Column) -> Column:
+        # The span before is done once one begins behind its end; until then it grows.
+        apart = s["start"] >= held["end"]
+        longer = F.struct(held["start"].alias("start"), F.greatest(held["end"], s["end"]).alias("end"), held["sign"].alias("sign"))
+        return F.struct(F.when(apart, one(s)).otherwise(longer).alias("state"), F.when(apart, F.array(held)).otherwise(none).alias("rows"))
+
+    def rebuilt(merged: Column, pieces: Column) -> Column:
+        def part(m: Column, i: Column) -> Column:
+            return F.concat(_from_pieces(pieces, F.when(i > 0, F.get(merged, i - 1)["end"]).otherwise(0), m["start"]), m["sign"])
+
+        return F.array_join(F.transform(merged, part), "")
+
+    # A span of no width behind the end closes the last one.
+    begin = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("sign"))
+    last = F.struct(F.length(text).alias("start"), (-F.length(text)).alias("before"), F.length(text).alias("end"), F.lit("").alias("sign"))
+    closed = F.concat(spans, F.array(last, last))
+    given = F.struct(_accumulated(closed, begin, none, step).alias("merged"), _pieces(text).alias("pieces"))
+    return F.when(F.size(spans) > 0, _bound(given, lambda g: rebuilt(g["merged"], g["pieces"]))).otherwise(text)

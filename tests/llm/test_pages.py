@@ -56,6 +56,31 @@ def test_templates(template):
     assert text(template.format(l=LONG, a="ALL CAPS &amp; more")) == "T\nALL CAPS & more"
 
 
+WRAPPED = [
+    "<form action=x><nav><a>Home</a></nav><div><h1>T</h1><p>{l}</p><p>{l}</p></div><div class=sidebar><p>zq xv</p></div></form>",
+    "<form><main><h1>T</h1><p>{l}</p><p>{l}</p></main><footer>{l}</footer></form>",
+    '<div class="content-sidebar-wrap"><main><h1>T</h1><p>{l}</p><p>{l}</p></main><aside class="sidebar"><p>{l}</p></aside></div>',
+    '<article class="post sponsored"><h1>T</h1><p>{l}</p><p>{l}</p><div class="share">tell</div></article><div id="comments">{l}</div>',
+    '<article class="post share-enabled"><h1>T</h1><p>{l}</p><p>{l}</p></article><section class="related"><article><p>{l}</p></article></section>',
+    '<div class="nav-open"><div class="widget"><article><h1>T</h1><p>{l}</p><p>{l}</p></article></div><form>mail</form></div>',
+    '<p data-x="{x}>{x}">x</p><article data-y="{x}>{x}"><h1>T</h1><p title=\'{x}>\'>{l}</p><p>{l}</p></article>',
+]
+
+
+@pytest.mark.parametrize("template", WRAPPED)
+def test_marks_around_the_page_are_hints(template):
+    page = template.format(l=LONG, x="y" * 5000)
+    assert text(page) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_marks_beside_the_text_stay():
+    """What stands beside a text is no part of it, however long it is."""
+    beside = f'<div class="sidebar"><p>{LONG * 5}</p></div><form><p>{LONG * 5}</p></form><section id="comments"><p>{LONG * 9}</p></section>'
+    assert text(f"<div><p>{LONG}</p><p>{LONG * 3}</p></div>{beside}") == f"{LONG.strip()}\n{(LONG * 3).strip()}"
+    assert text(f"<article><p>short</p></article>{beside}") == "short"
+    assert text(f'<section id="comments"><article><p>{LONG}</p></article></section>') == ""
+
+
 @pytest.mark.parametrize("page", ["", None, "<", "<a \"b", "<!-- x", "<script>x", "</p></div>", "&#xffffffff;", "<p" * 2000, "<![CDATA[x"])
 def test_broken_markup(page):
     assert isinstance(text(page), str)

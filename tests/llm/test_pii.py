@@ -32,6 +32,8 @@ def expected(text):
     return ",".join(f"{k}:{m.start()}:{m.end()}" for k, m in out)
 
 
+SCHEMA = "doc_id long, text string, source string, base string, row_id int"
+
 PARTS = (
     "a|b.|@|.|1|23|255|256|007| |-|+|(|)|%|_|4111111111111111|4111 1111-1111 1111|é|\U0001f600|x@y.z|1.2.3.4|"
     "+1 (555) 123-4567|\n|--|9.9"
@@ -53,6 +55,20 @@ def test_very_long_texts(spark):
     assert got == {0: "", 1: "", 2: f"email:0:{len(texts[2])}", 3: ""}
 
 
+def test_many_matches_in_one_text(spark, workspace):
+    """20,000 addresses in one text take seconds, places and clean text included."""
+    import time
+
+    text = " ".join(f"name{i} n{i}@host{i % 50}.example wrote é" for i in range(20_000))
+    df = spark.createDataFrame([(1, text, "s", "b", 1)], SCHEMA)
+    start = time.perf_counter()
+    found = personal_data(df, workspace, kept_cols=["text"])
+    clean = found.select(spans_text(F.col("base")).alias("s"), sanitised(F.col("in_text"), F.col("base"), F.col("terms")).alias("c")).first()
+    assert time.perf_counter() - start < 60
+    assert clean.s == expected(text)
+    assert clean.c == re.sub(r"n[0-9]+@host[0-9]+\.example", "[EMAIL]", text)
+
+
 def private_corpus():
     """One address always beside one rare name, each time in other words; common words are everywhere."""
     rng = random.Random(1)
@@ -68,9 +84,6 @@ def private_corpus():
     return rows
 
 
-SCHEMA = "doc_id long, text string, source string, base string, row_id int"
-
-
 def test_disclosing_terms(spark, workspace):
     df = spark.createDataFrame(private_corpus(), SCHEMA)
     found = personal_data(df, workspace, Disclosure(), kept_cols=["text"]).withColumn(
