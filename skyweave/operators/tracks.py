@@ -6,7 +6,7 @@ track into an array.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.functions.geo import haversine_m, heading_change
@@ -85,6 +85,46 @@ def downsample(
     return numbered.where((F.col("point_no") - 1) % step == 0)
 
 
+def keep_shape(
+    df: DataFrame,
+    value: str,
+    key: str = KEY,
+    ts: str = TIME,
+    row_id: str = ROW_ID,
+    max_points: int = 20,
+) -> DataFrame:
+    """At most ``max_points`` rows of each track that show the shape of ``value`` over time.
+
+    The first and the last row stay. The time between is cut into equal buckets, and of each the row stays that spans the largest
+    triangle with the mean points of the nearest buckets with rows before and after it, ties to the earlier row; with the means in
+    place of the chosen neighbours all buckets are decided at once. All steps are aggregates by (track, bucket), so a
+    hot track is spread over its buckets and reduced before each shuffle. Rows without a value or a time are left out; columns come
+    through as they are.
+    """
+    if max_points < 3:
+        raise ValueError("a shape needs three points or more")
+    known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & F.col(value).isNotNull())
+    place = F.struct(F.col(ts).alias("t"), F.col(row_id).alias("i"))
+    ends = known.groupBy(key).agg(F.min(place).alias("__first"), F.max(place).alias("__last"))
+    since = _micros(F.col(ts)) - _micros(F.col("__first.t"))
+    length = _micros(F.col("__last.t")) - _micros(F.col("__first.t"))
+    inner = F.least(F.floor(since * (max_points - 2) / F.greatest(length, F.lit(1))), F.lit(max_points - 3))
+    bucket = F.when(place == F.col("__first"), -1).when(place == F.col("__last"), max_points - 2).otherwise(inner)
+    cut = known.join(ends, key).withColumn("__bucket", bucket.cast("int")).withColumn("__t", since / 1e6).drop("__first", "__last")
+    means = cut.groupBy(key, "__bucket").agg(F.avg("__t").alias("t"), F.avg(F.col(value).cast("double")).alias("v"))
+    # At most max_points rows of a track.
+    along = Window.partitionBy(key).orderBy("__bucket")
+    sides = means.select(
+        key, "__bucket", F.lag("t").over(along).alias("__t0"), F.lag("v").over(along).alias("__v0"),
+        F.lead("t").over(along).alias("__t1"), F.lead("v").over(along).alias("__v1"),
+    )
+    x, y = F.col("__t"), F.col(value).cast("double")
+    area = F.abs((x - F.col("__t0")) * (F.col("__v1") - F.col("__v0")) - (F.col("__t1") - F.col("__t0")) * (y - F.col("__v0"))) / 2
+    judged = cut.join(sides, [key, "__bucket"]).withColumn("__area", F.round(F.coalesce(area, F.lit(0.0)), 3))
+    rank = F.struct(-F.col("__area"), F.col(ts), F.col(row_id))
+    return pick_row(judged.select(*df.columns, "__bucket", "__area"), [key, "__bucket"], rank, newest=False).select(*df.columns)
+
+
 def deltas(
     df: DataFrame,
     columns: dict[str, str],

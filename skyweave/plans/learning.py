@@ -1,7 +1,7 @@
 """Distributed classification: candidates, comparison, versions, scoring.
 
 Models are fitted on a bounded sample of the training part; everything else, evaluation and scoring, covers all rows.
-Fitting and scoring stay in the JVM, and scoring never leaves DataFrames.
+Logistic regression and forests fit and score in the JVM, boosted trees by Arrow batches; scoring never leaves DataFrames.
 """
 
 from __future__ import annotations
@@ -9,18 +9,14 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.operators.evaluate import best_candidate, class_weights, macro_f1
 from skyweave.operators.features import lookup
+from skyweave.plans.boosting import Growth, fit_boosting
 from skyweave.session import ensure_checkpoint_dir
 
 # Names and settings of the candidates, the most rows a model is fitted on, and the seed of that sample.
@@ -44,7 +40,7 @@ def weighted(train: DataFrame, label: str = LABEL) -> DataFrame:
     return train.join(class_weights(train, label).select(label, "class_weight"), label)
 
 
-def _estimator(candidate: str, rows: int, rounds: int):
+def _estimator(candidate: str, rows: int):
     common = {"labelCol": "label_index", "weightCol": "class_weight"}
     if candidate == LOGISTIC:
         # An L2 penalty of 1 against the summed loss is 1 / rows against Spark's mean loss.
@@ -59,10 +55,6 @@ def _estimator(candidate: str, rows: int, rounds: int):
             cacheNodeIds=True,
             **common,
         )
-    if candidate == BOOSTING:
-        # Spark's boosted trees are binary, so one model per class.
-        trees = GBTClassifier(maxIter=rounds, stepSize=BOOSTING_RATE, maxDepth=5, seed=42, maxMemoryInMB=1024)
-        return OneVsRest(classifier=trees, featuresCol="features", parallelism=4, **common)
     raise ValueError(f"unknown candidate: {candidate}")
 
 
@@ -76,7 +68,7 @@ def fit(
     """Fit one candidate. The result adds ``flight_phase_pred`` to any DataFrame with the features.
 
     A feature that is null or NaN when a row is scored counts as the median of the training rows, so that a row with
-    an unknown key is judged by the features it has.
+    an unknown key is judged by the features it has; boosted trees have a side for it at each split.
     """
     ensure_checkpoint_dir(train.sparkSession)
     indexer = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc").fit(train)
@@ -84,6 +76,14 @@ def fit(
     # Tree fitting starts many short jobs; partitions below this size cost more than they save.
     spread = train.repartition(1 + rows // ROWS_PER_PARTITION)
     prepared = indexer.transform(weighted(spread, label)).select(*features, "label_index", "class_weight").persist()
+    names = IndexToString(inputCol="prediction", outputCol=f"{label}_pred", labels=indexer.labels)
+    if candidate == BOOSTING:
+        try:
+            growth = Growth(rate=BOOSTING_RATE)
+            trees = fit_boosting(prepared, features, "label_index", "class_weight", len(indexer.labels), rounds, growth)
+            return PipelineModel([trees, names])
+        finally:
+            prepared.unpersist()
     filled = [f"__{f}" for f in features]
     stages = [
         Imputer(strategy="median", inputCols=features, outputCols=filled),
@@ -91,8 +91,8 @@ def fit(
     ]
     if candidate == LOGISTIC:
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True))
-    stages.append(_estimator(candidate, rows, rounds))
-    stages.append(IndexToString(inputCol="prediction", outputCol=f"{label}_pred", labels=indexer.labels))
+    stages.append(_estimator(candidate, rows))
+    stages.append(names)
     try:
         return Pipeline(stages=stages).fit(prepared)
     finally:

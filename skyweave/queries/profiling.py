@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from skyweave.operators import metrics, profile
@@ -182,6 +184,44 @@ def grid_density_time(spark, folder):
     return profile.grid_density(state_vectors(spark, folder), degrees=10.0, slice_hours=1)
 
 
+def _hex_sql(x: str, y: str, columns: int) -> str:
+    """Cell of a point in hexagon widths, as hex_column and hex_row."""
+    return f"""p AS (SELECT *, {x} - {y} / {math.sqrt(3) / 2} / 2 AS u, {y} / {math.sqrt(3) / 2} AS v FROM xy),
+    r AS (SELECT *, floor(u + 0.5) AS a, floor(v + 0.5) AS b, floor(-u - v + 0.5) AS c FROM p),
+    f AS (SELECT *, abs(a - u) AS du, abs(b - v) AS dv, abs(c - (-u - v)) AS dw FROM r),
+    h AS (SELECT *, CAST(CASE WHEN du > dv AND du > dw THEN -b - c ELSE a END AS BIGINT) AS q,
+      CAST(CASE WHEN NOT (du > dv AND du > dw) AND dv > dw THEN -a - c ELSE b END AS BIGINT) AS hex_row FROM f),
+    cells AS (SELECT *, (q % {columns} + {columns}) % {columns} AS hex_column FROM h)"""
+
+
+_HEX_COLUMNS, _HEX_COARSER = 72, 18
+_HEX = f"""{SV}, m AS (SELECT icao24, (longitude + 180) % 360 AS m, sin(radians(greatest(-90.0, least(90.0, latitude)))) AS north
+      FROM sv WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+    xy AS (SELECT icao24, (CASE WHEN m < 0 THEN (m + 360) % 360 ELSE m END) / 360 * {_HEX_COLUMNS} AS x,
+      north * {_HEX_COLUMNS / (2 * math.pi)} AS y FROM m), {_hex_sql("x", "y", _HEX_COLUMNS)},
+    density AS (SELECT hex_column, hex_row, count(*) AS n_rows, count(DISTINCT icao24) AS n_aircraft FROM cells GROUP BY 1, 2)"""
+_HEX_SCALE = _HEX_COARSER / _HEX_COLUMNS
+
+
+@query("hex_density", f"{_HEX} SELECT * FROM density")
+def hex_density(spark, folder):
+    return profile.hex_density(state_vectors(spark, folder), _HEX_COLUMNS)
+
+
+@query(
+    "hex_rollup",
+    f"""WITH density AS ({_HEX} SELECT * FROM density),
+    w AS (SELECT n_rows, ((hex_column + hex_row / 2.0) * {_HEX_SCALE}) % {_HEX_COARSER} AS m, hex_row * {math.sqrt(3) / 2 * _HEX_SCALE} AS y
+      FROM density),
+    xy AS (SELECT n_rows, CASE WHEN m < 0 THEN (m + {_HEX_COARSER}) % {_HEX_COARSER} ELSE m END AS x, y FROM w),
+    {_hex_sql("x", "y", _HEX_COARSER)}
+    SELECT hex_column, hex_row, CAST(sum(n_rows) AS BIGINT) AS n_rows, count(*) AS n_children FROM cells GROUP BY 1, 2""",
+)
+def hex_rollup(spark, folder):
+    cells = profile.hex_density(state_vectors(spark, folder), _HEX_COLUMNS)
+    return profile.hex_rollup(cells, _HEX_COLUMNS, _HEX_COARSER)
+
+
 @query(
     "phase_mix",
     f"{LABELLED} SELECT flight_phase, count(*) AS n_rows FROM lab GROUP BY 1",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyweave.functions.labels import flight_phase
-from skyweave.operators import tracks
+from skyweave.operators import routes, tracks
 from skyweave.operators.sequence import plan_slices
 from skyweave.queries.base import PHASE, RULE_CLASS, SV, query
 from skyweave.queries.sources import prediction_log
+from skyweave.session import materialise
 from skyweave.sources.telemetry import state_vectors, table
 
 _RADIUS = "6371008.8"
@@ -108,6 +109,70 @@ def downsample_tracks(spark, folder):
     return tracks.downsample(state_vectors(spark, folder).select("event_id", "icao24", "time_position"))
 
 
+_POINTS = 12
+
+
+@query(
+    "keep_shape",
+    f"""{SV}, k AS (SELECT event_id, icao24, time_position, velocity, first(event_id) OVER w AS low, last(event_id) OVER w AS high,
+      epoch_us(time_position) - epoch_us(first(time_position) OVER w) AS since,
+      epoch_us(last(time_position) OVER w) - epoch_us(first(time_position) OVER w) AS len
+      FROM sv WHERE velocity IS NOT NULL
+      WINDOW w AS ({_ALONG} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    c AS (SELECT *, since / 1000000.0 AS t, CASE WHEN event_id = low THEN -1 WHEN event_id = high THEN {_POINTS} - 2
+      ELSE least(floor(since * {_POINTS - 2} / greatest(len, 1)), {_POINTS} - 3) END AS bucket FROM k),
+    b AS (SELECT icao24, bucket, avg(t) AS t, avg(velocity) AS v FROM c GROUP BY 1, 2),
+    s AS (SELECT icao24, bucket, lag(t) OVER w AS t0, lag(v) OVER w AS v0, lead(t) OVER w AS t1, lead(v) OVER w AS v1 FROM b
+      WINDOW w AS (PARTITION BY icao24 ORDER BY bucket)),
+    a AS (SELECT c.*, round(coalesce(abs((c.t - t0) * (v1 - v0) - (t1 - t0) * (velocity - v0)) / 2, 0), 3) AS area
+      FROM c JOIN s USING (icao24, bucket)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY icao24, bucket ORDER BY area DESC, time_position, event_id) AS n FROM a)
+    SELECT event_id, icao24, time_position, velocity FROM r WHERE n = 1""",
+)
+def keep_shape(spark, folder):
+    """Each track's velocity by a few points that keep its shape."""
+    df = state_vectors(spark, folder).select("event_id", "icao24", "time_position", "velocity")
+    return tracks.keep_shape(df, "velocity", max_points=_POINTS)
+
+
+_PLACE_DEGREES, _PLACE_ENDS, _PLACE_GAP = 10, 6, 43200
+
+
+def _place_cell(end: str) -> str:
+    return f"""least(CAST(floor(({end}_lat + 90) / {_PLACE_DEGREES}.0) AS BIGINT), {180 // _PLACE_DEGREES - 1}) * {360 // _PLACE_DEGREES}
+      + (CAST(floor(({end}_lon + 180) / {_PLACE_DEGREES}.0) AS BIGINT) % {360 // _PLACE_DEGREES} + {360 // _PLACE_DEGREES})
+      % {360 // _PLACE_DEGREES} AS {end}"""
+
+
+@query(
+    "route_map",
+    f"""WITH RECURSIVE sv AS ({SV} SELECT * FROM sv),
+    k AS (SELECT *, lag(time_position) OVER w AS pts FROM sv WHERE latitude IS NOT NULL AND longitude IS NOT NULL WINDOW w AS ({_ALONG})),
+    g AS (SELECT *, CASE WHEN pts IS NULL OR epoch_us(time_position) - epoch_us(pts) >= {_PLACE_GAP}000000 THEN 1 ELSE 0 END AS fresh
+      FROM k),
+    s AS (SELECT *, sum(fresh) OVER ({_ALONG}) AS segment FROM g),
+    n AS (SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY icao24, segment) AS points FROM s
+      WINDOW w AS (PARTITION BY icao24, segment ORDER BY time_position, event_id)),
+    e AS (SELECT icao24, segment, max(latitude) FILTER (WHERE place = 1) AS o_lat, max(longitude) FILTER (WHERE place = 1) AS o_lon,
+      max(latitude) FILTER (WHERE place = points) AS d_lat, max(longitude) FILTER (WHERE place = points) AS d_lon
+      FROM n WHERE points > 1 GROUP BY 1, 2),
+    c AS (SELECT {_place_cell('o')}, {_place_cell('d')} FROM e),
+    dense AS (SELECT node FROM (SELECT o AS node FROM c UNION ALL SELECT d FROM c) GROUP BY node HAVING count(*) >= {_PLACE_ENDS}),
+    touch AS (SELECT a.node AS a, b.node AS b FROM dense a JOIN dense b ON a.node <> b.node
+      AND abs((a.node + 36) // 36 - (b.node + 36) // 36) <= 1
+      AND ((a.node + 36) % 36 - (b.node + 36) % 36) IN (-35, -1, 0, 1, 35)),
+    reach(a, b) AS (SELECT node, node FROM dense UNION SELECT r.a, t.b FROM reach r JOIN touch t ON t.a = r.b),
+    place AS (SELECT a AS node, min(b) AS place FROM reach GROUP BY 1)
+    SELECT po.place AS origin, pd.place AS destination, count(*) AS n_flights
+    FROM c LEFT JOIN place po ON po.node = c.o LEFT JOIN place pd ON pd.node = c.d GROUP BY 1, 2""",
+)
+def route_map(spark, folder):
+    """Flights between the places where flights begin and end."""
+    df = state_vectors(spark, folder).select("event_id", "icao24", "time_position", "latitude", "longitude")
+    ends = materialise(routes.segment_ends(df, _PLACE_GAP), "segment-ends")
+    return routes.route_map(ends, float(_PLACE_DEGREES), _PLACE_ENDS)
+
+
 @query(
     "altitude_delta",
     f"""{SV} SELECT event_id, baro_altitude - lag(baro_altitude) OVER ({_ALONG}) AS baro_delta,

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from skyweave.functions.labels import PHASES, flight_phase
 from skyweave.operators.rules import CURATED_RULES, SILVER_DROP, SILVER_WARN, keep_passing
 from skyweave.plans import learning
-from skyweave.queries.base import CURATED, PHASE, RULE_CLASS, SILVER, SV, query
+from skyweave.queries import change_data  # noqa: F401
+from skyweave.queries.base import CURATED, ORACLES, PHASE, RULE_CLASS, SILVER, SV, query
 from skyweave.queries.learning import MODEL, registered
 from skyweave.queries.quality import expectation_sql
 from skyweave.session import scratch_path
 from skyweave.queries.sources import prediction_log, rule_class
 from skyweave.sources import sinks
 from skyweave.sources.telemetry import events_path, state_vectors, table, to_state_vectors
-from skyweave.streaming import run, tables, windows
+from skyweave.streaming import history, ingest, live, run, tables, windows
 
 DELAY = "1 hour"
 _CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
@@ -162,3 +163,74 @@ def feedback_append(spark, folder):
     known = feedback.join(log, "prediction_id", "left_semi")
     sinks.append_log(known, path, ["prediction_id"])
     return sinks.append_log(known, path, ["prediction_id"])
+
+
+_SILENCE = "2 days"
+
+
+@query(
+    "stream_live",
+    f"""{SV}, l AS (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY time_position DESC, event_id DESC) AS rn FROM sv)
+    SELECT icao24, event_id, time_position, latitude, longitude,
+    CASE WHEN time_position + INTERVAL {_SILENCE} <= {_CLOSED} THEN 'silent' ELSE 'live' END AS status FROM l WHERE rn = 1""",
+)
+def stream_live(spark, folder):
+    """Latest position of every aircraft, and whether it has fallen silent."""
+    columns = ["icao24", "event_id", "time_position", "latitude", "longitude"]
+    return live.live_positions(_vectors(spark, folder).select(*columns), scratch_path(spark, "live"), _SILENCE, DELAY)
+
+
+def _late_changes(spark, folder):
+    """The orders as changes of their customers, in three deliveries that each have changes from all times."""
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(spark, "late-changes")
+    for part in range(3):
+        orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == part).write.mode("append").parquet(path)
+    return path
+
+
+def _applied(spark, folder, apply):
+    path, root = _late_changes(spark, folder), scratch_path(spark, "applied")
+    stream = run.file_stream(spark, path, files_per_batch=1)
+    return apply(stream, root, "o_custkey", "o_orderkey", F.expr("o_orderstatus = 'P'"), folders=8)
+
+
+@query("stream_scd1", ORACLES["cdc_scd1"])
+def stream_scd1(spark, folder):
+    """Newest state of each customer from changes that come late and out of order."""
+    return _applied(spark, folder, history.current_state)
+
+
+@query("stream_scd2", ORACLES["cdc_scd2"])
+def stream_scd2(spark, folder):
+    """History of each customer from changes that come late and out of order."""
+    return _applied(spark, folder, history.state_history)
+
+
+@query(
+    "stream_schema_evolution",
+    """SELECT event_id, user_id, CASE WHEN event_id % 3 = 2 AND event_id % 5 = 0 THEN NULL ELSE value END AS value, event_type,
+    CASE WHEN event_id % 3 > 0 THEN event_id % 7 = 0 END AS flagged,
+    CASE WHEN event_id % 3 = 2 THEN concat('n', event_id) END AS note,
+    CASE WHEN event_id % 3 = 2 AND event_id % 5 = 0 THEN concat('{"value":"bad ', event_id, '"}') END AS rescued
+    FROM events""",
+)
+def stream_schema_evolution(spark, folder):
+    """Three deliveries of JSON lines: the second brings a column, the third another one and values of another type."""
+    events = table(spark, folder, "events")
+    names = [F.col(c) for c in ("event_id", "user_id", "value", "event_type")]
+    flagged, note = (F.col("event_id") % 7 == 0).alias("flagged"), F.concat(F.lit("n"), "event_id").alias("note")
+    bad = F.concat(F.lit("bad "), "event_id")
+    spoilt = [*names[:2], bad.alias("value"), names[3]]
+    third, fifth = F.col("event_id") % 3, F.col("event_id") % 5
+    deliveries = [
+        [(third == 0, names)],
+        [(third == 1, [*names, flagged])],
+        [((third == 2) & (fifth != 0), [*names, flagged, note]), ((third == 2) & (fifth == 0), [*spoilt, flagged, note])],
+    ]
+    landing, evolving = scratch_path(spark, "landing"), ingest.EvolvingTable(spark, scratch_path(spark, "evolving"))
+    for delivery in deliveries:
+        for rows, columns in delivery:
+            events.where(rows).select(F.to_json(F.struct(*columns)).alias("value")).write.mode("append").text(landing)
+        evolving.ingest(landing)
+    return evolving.read()

@@ -6,12 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_root: str | None = None
 _made: set[str] = set()
+_once: dict[tuple, str] = {}
 
 # Bytes of a shuffle partition before AQE merges small ones.
 PARTITION_BYTES = 256 << 20
@@ -87,6 +89,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def made_once(spark: SparkSession, name: str, key: tuple, make: Callable[[str], None]) -> str:
+    """A folder under the scratch root that ``make`` fills at the first call with this key in an application, and later calls find
+    again; after ``clean_scratch`` it is made anew."""
+    whole = (spark.sparkContext.applicationId, name, *key)
+    path = _once.get(whole)
+    if path is None or path not in _made:
+        path = scratch_path(spark, name)
+        make(path)
+        _once[whole] = path
+    return path
+
+
 def clean_scratch(spark: SparkSession) -> int:
     """Delete what this process has put under the shared scratch root; gives the number of folders.
 

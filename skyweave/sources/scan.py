@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyweave.functions.predicates import hint_to_column
+from skyweave.operators.sequence import ordered_scan, plan_slices
 
 
 def preview(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:
@@ -48,6 +49,25 @@ def keyset_pages(df: DataFrame, key: str, size: int, after=None):
         after = last
 
 
+def page_starts(df: DataFrame, key: str, size: int) -> list:
+    """The first key of every page of ``size`` rows, in order, from running counts over the key alone. Keys must be unique and not null.
+
+    The list has rows / ``size`` entries, so ask for pages of many rows.
+    """
+    keys = df.select(key)
+    ranked = ordered_scan(keys, [], key, running={"through": F.lit(1)}, slices=plan_slices(keys, key))
+    starts = ranked.where((F.col("through") - 1) % size == 0).select(key).collect()
+    return sorted(r[0] for r in starts)
+
+
+def ranged_pages(df: DataFrame, key: str, size: int) -> list[DataFrame]:
+    """All pages of ``size`` rows as ranges of the key: a page is a filter that reaches the scan, without a sort, and pages can be read
+    in any order or all at once."""
+    starts = page_starts(df, key, size)
+    pages = [df.where((F.col(key) >= low) & (F.col(key) < high)) for low, high in zip(starts, starts[1:])]
+    return pages + [df.where(F.col(key) >= low) for low in starts[-1:]]
+
+
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType, json_arrays: dict[str, str]) -> DataFrame:
     """Typed CSV read. Array columns travel as JSON text and are parsed after the read.
 

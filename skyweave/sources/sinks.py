@@ -99,18 +99,25 @@ def with_record_id(df: DataFrame, row_key: list[str]) -> DataFrame:
     return df.withColumn("id", F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256))
 
 
-def append_log(df: DataFrame, path: str, row_key: list[str]) -> DataFrame:
+def append_log(df: DataFrame, path: str, row_key: list[str], day: str | None = None) -> DataFrame:
     """Append records with an id derived from their key; records whose id is there already are left out.
 
-    So appending again adds nothing. Records that share a key within ``df`` are one record.
+    So appending again adds nothing. Records that share a key within ``df`` are one record. With ``day``, a date column that
+    follows from the key, the log is partitioned by it and only the stored ids of the days that come are read, whatever the
+    length of the log.
     """
     spark = df.sparkSession
     identified = with_record_id(df, row_key).dropDuplicates(["id"])
     place, system = _files(spark, path)
     if system.exists(place):
-        stored = spark.read.parquet(path).select("id")
-        identified = identified.join(stored, "id", "left_anti")
-    identified.write.mode("append").parquet(path)
+        stored = spark.read.parquet(path)
+        if day:
+            days = [r[0] for r in df.select(day).distinct().collect()]
+            known = F.col(day).isin([d for d in days if d is not None])
+            stored = stored.where(known | F.col(day).isNull() if None in days else known)
+        identified = identified.join(stored.select("id"), "id", "left_anti")
+    writer = _gathered(identified, [day] if day else None).write.mode("append")
+    (writer.partitionBy(day) if day else writer).parquet(path)
     return spark.read.parquet(path)
 
 

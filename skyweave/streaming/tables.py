@@ -30,7 +30,7 @@ def _with_batch(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
 
 
-def _stored(spark: SparkSession, path: str, like) -> DataFrame:
+def stored_table(spark: SparkSession, path: str, like) -> DataFrame:
     """The table in a folder, empty where nothing has been written yet."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -56,16 +56,16 @@ def latest_positions(
         session = batch.sparkSession
         latest_row(batch, key, ts, row_id).write.mode("overwrite").parquet(f"{winners}/batch={batch_id}")
         if (batch_id + 1) % compact_every == 0:
-            every = _stored(session, winners, marked)
+            every = stored_table(session, winners, marked)
             old = every.where(F.col("batch") < batch_id)
-            both = _stored(session, base, like).unionByName(old.drop("batch"))
+            both = stored_table(session, base, like).unionByName(old.drop("batch"))
             overwrite(latest_row(both, key, ts, row_id), base)
             # What the base holds now is removed; a repeated run finds the winners either there or here.
             for found in [r.batch for r in old.select("batch").distinct().collect()]:
                 delete(session, f"{winners}/batch={found}")
 
     each_batch(stream, merge, f"{root}/checkpoint")
-    return latest_row(_stored(spark, base, like).unionByName(_stored(spark, winners, marked).drop("batch")), key, ts, row_id)
+    return latest_row(stored_table(spark, base, like).unionByName(stored_table(spark, winners, marked).drop("batch")), key, ts, row_id)
 
 
 def expectation_counters(stream: DataFrame, rules, root: str) -> DataFrame:
@@ -77,7 +77,7 @@ def expectation_counters(stream: DataFrame, rules, root: str) -> DataFrame:
 
     each_batch(stream, count, f"{root}/checkpoint")
     return (
-        _stored(spark, f"{root}/counters", "rule string, passed bigint, failed bigint, batch bigint")
+        stored_table(spark, f"{root}/counters", "rule string, passed bigint, failed bigint, batch bigint")
         .groupBy("rule")
         .agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
     )
@@ -92,4 +92,4 @@ def append_batches(stream: DataFrame, prepare, root: str) -> DataFrame:
         prepare(batch).write.mode("overwrite").parquet(f"{root}/table/batch={batch_id}")
 
     each_batch(stream, write, f"{root}/checkpoint")
-    return _stored(spark, f"{root}/table", _with_batch(like)).drop("batch")
+    return stored_table(spark, f"{root}/table", _with_batch(like)).drop("batch")
