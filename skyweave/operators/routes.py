@@ -38,22 +38,23 @@ def _cell(point: str, degrees: float) -> list[Column]:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node``, ``root``: the smallest node each node of ``edges`` (``a``, ``b``) can reach.
 
-    Every round each node takes the smallest root among its neighbours and then its root's root, so rounds follow the
-    logarithm of a group's width in practice; each is a written table.
+    Every round each root that has a lower one across an edge is hooked to the lowest of these, and all nodes step on to the root of
+    their root; so groups grow together by multiples, and rounds follow the logarithm of their size. Each round is a written table.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialise(both.where("a <> b").distinct(), f"{name}-edges")
-    labels = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), name)
+    links = materialise(edges.where("a <> b").select("a", "b").distinct(), f"{name}-edges")
+    nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    labels = materialise(nodes.withColumn("root", F.col("node")), name)
     while True:
-        of_b = labels.select(F.col("node").alias("b"), F.col("root").alias("seen"))
-        least = both.join(of_b, "b").groupBy("a").agg(F.min("seen").alias("seen")).withColumnRenamed("a", "node")
-        lower = labels.join(least, "node").select("node", F.col("root").alias("was"), F.least("root", "seen").alias("root"))
-        ahead = lower.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        stepped = lower.join(ahead, "root", "left").select("node", "was", F.least("root", F.coalesce("further", "root")).alias("root"))
-        found = materialise(stepped, name)
-        labels = found.select("node", "root")
-        if found.where("was <> root").isEmpty():
+        of_a = labels.select(F.col("node").alias("a"), F.col("root").alias("x"))
+        of_b = labels.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        crossing = links.join(of_a, "a").join(of_b, "b").where("x <> y")
+        hooks = crossing.select(F.greatest("x", "y").alias("root"), F.least("x", "y").alias("low")).groupBy("root").agg(F.min("low").alias("low"))
+        hooks = materialise(hooks, f"{name}-hooks")
+        if hooks.isEmpty():
             return labels
+        hooked = materialise(labels.join(hooks, "root", "left").select("node", F.coalesce("low", "root").alias("root")), name)
+        ahead = hooked.select(F.col("node").alias("root"), F.col("root").alias("further"))
+        labels = materialise(hooked.join(ahead, "root").select("node", F.col("further").alias("root")), name)
 
 
 def places(ends: DataFrame, degrees: float = 1.0, least: int = 4) -> DataFrame:

@@ -116,6 +116,20 @@ class Tree:
         return (len(self.feature) + 1).bit_length() - 1
 
 
+def packed(trees: list[list[Tree]]) -> tuple[np.ndarray, ...] | None:
+    """All rounds as four arrays (rounds, classes, nodes), which travel to the workers fast."""
+    if not trees:
+        return None
+    return tuple(np.stack([[getattr(t, name) for t in r] for r in trees]) for name in ("feature", "cut", "last_left", "value"))
+
+
+def unpacked(arrays: tuple[np.ndarray, ...] | None, first: int = 0) -> list[list[Tree]]:
+    """The rounds from ``first`` on."""
+    if arrays is None:
+        return []
+    return [[Tree(*[a[r, k] for a in arrays]) for k in range(arrays[0].shape[1])] for r in range(first, len(arrays[0]))]
+
+
 def margins(trees: list[list[Tree]], start: np.ndarray, bins: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Margins (classes, rows) of the rows after all rounds of ``trees``."""
     total = np.repeat(start[:, None], bins.shape[1], axis=1)
@@ -202,15 +216,16 @@ def _value(sums: np.ndarray, growth: Growth) -> float:
 _seen: dict[tuple[str, int], tuple[int, np.ndarray]] = {}
 
 
-def _block_margins(fit: str, number: int, trees: list[list[Tree]], start, bins, last) -> np.ndarray:
+def _block_margins(fit: str, number: int, trees: tuple[np.ndarray, ...] | None, start, bins, last) -> np.ndarray:
+    done = 0 if trees is None else len(trees[0])
     for other in [key for key in _seen if key[0] != fit]:
         del _seen[other]
     rounds, total = _seen.get((fit, number), (0, None))
-    if total is None or rounds > len(trees):
+    if total is None or rounds > done:
         rounds, total = 0, np.repeat(start[:, None], bins.shape[1], axis=1)
-    if rounds < len(trees):
-        total = total + margins(trees[rounds:], np.zeros(len(start)), bins, last)
-        _seen[fit, number] = (len(trees), total)
+    if rounds < done:
+        total = total + margins(unpacked(trees, rounds), np.zeros(len(start)), bins, last)
+        _seen[fit, number] = (done, total)
     return total
 
 
@@ -240,7 +255,7 @@ def _packer(features: int):
     return pack
 
 
-def _summer(fit: str, trees: list[list[Tree]], growing: list[Tree], level: int, start, last, width: int):
+def _summer(fit: str, trees: tuple[np.ndarray, ...] | None, growing: list[Tree], level: int, start, last, width: int):
     """Sums of a level over the blocks of a task."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,9 +310,10 @@ def fit_boosting(
     fit, trees = f"{id(blocks)}-{np.random.default_rng().integers(2**62)}", []
     try:
         for _ in range(rounds if count else 0):
+            so_far = packed(trees)
             growing = [Tree.empty(growth.depth) for _ in range(classes)]
             for level in range(growth.depth):
-                part = _summer(fit, trees, growing, level, start, last, width)
+                part = _summer(fit, so_far, growing, level, start, last, width)
                 sums = blocks.mapInArrow(part, "sums binary")
                 if count > PARTIALS:
                     lot = F.spark_partition_id() % PARTIALS

@@ -125,13 +125,14 @@ def test_a_worker_without_earlier_margins_makes_them(spark):
         trees.append([tree, tree])
     start = np.array([0.1, -0.2])
     boosting._seen.clear()
-    whole = boosting._block_margins("x", 1, trees, start, bins, last)
+    whole = boosting._block_margins("x", 1, boosting.packed(trees), start, bins, last)
     boosting._seen.clear()
     for n in range(4):
-        step = boosting._block_margins("x", 1, trees[:n], start, bins, last)
+        step = boosting._block_margins("x", 1, boosting.packed(trees[:n]), start, bins, last)
     assert np.allclose(whole, step)
     # An earlier round, as after a lost executor.
-    assert np.allclose(boosting._block_margins("x", 1, trees[:1], start, bins, last), boosting.margins(trees[:1], start, bins, last))
+    again = boosting._block_margins("x", 1, boosting.packed(trees[:1]), start, bins, last)
+    assert np.allclose(again, boosting.margins(trees[:1], start, bins, last))
 
 
 def test_model_is_stored_and_streams(spark):

@@ -9,7 +9,10 @@ ORACLES = contract.oracle_sql()
 ROWS_ONLY = sorted(set(contract.queries()) - set(ORACLES))
 # The operators of skyweave.llm have tests of their own; what fits models is exercised in test_learning as well.
 CORPUS = {n for n in contract.queries() if n.startswith("op") and n[2:3].isdigit()} | {"pipeline"}
-FITTED = {"ml_logistic", "ml_forest", "ml_boosting", "ml_compare", "batch_score", "score_with_lookup", "stream_score", "alias_move"}
+FITTED = {
+    "ml_logistic", "ml_forest", "ml_boosting", "ml_compare", "ml_quality",
+    "batch_score", "score_with_lookup", "scoring_quality", "stream_score", "alias_move",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLES) - CORPUS))
@@ -19,6 +22,7 @@ def test_same_rows(spark, con, folder, name, monkeypatch):
 
         monkeypatch.setattr(learning, "FOREST_TREES", 10)
         monkeypatch.setattr(learning, "FOREST_DEPTH", 6)
+        monkeypatch.setattr(learning, "BOOSTING_ROUNDS", 5)
     found = harness.differences(contract.queries()[name](spark, folder), con, ORACLES[name])
     assert not found, found
 
