@@ -170,7 +170,7 @@ def test_fill_of_both_histograms_agrees(spark):
     assert bins == {-1000.0: 1, 0.0: 2, 1000.0: 1, 2000.0: 1}
 
 
-def test_compact_numbers(spark):
+def test_compact_numbers_once_more(spark):
     from skyweave.functions.text import compact_number
 
     expected = {
