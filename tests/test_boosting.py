@@ -103,7 +103,7 @@ def test_rounds_reduce_the_errors_and_blocks_do_not_matter(spark, monkeypatch):
     rows = rows_of(1500)
     df = frame(spark, rows)
     scores = []
-    for rounds, block_rows, partials in ((1, 32_768, 64), (12, 32_768, 64), (12, 100, 2)):
+    for rounds, block_rows, partials in ((1, 32_768, 64), (5, 32_768, 64), (5, 100, 2)):
         monkeypatch.setattr(boosting, "BLOCK_ROWS", block_rows)
         monkeypatch.setattr(boosting, "PARTIALS", partials)
         model = fit_boosting(df, ["a", "b"], "label_index", "class_weight", 3, rounds)
