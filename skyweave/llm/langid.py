@@ -19,8 +19,9 @@ EXCERPT = 150
 DICTIONARY_BYTES = 16_384
 PIECE = 1_500
 """Characters compressed at a time, so that the dictionary counts for a long text as much as for a short one."""
-SHORT = 160
 LEVEL = 5
+CLOSE_BYTES = 8
+"""Where the two smallest sizes are no further apart than this, phrases decide: the format counts whole bytes of whole blocks."""
 LEAST_MARGIN = 0.01
 """Predictions whose best size is not smaller than the second by this share are not accepted."""
 UNKNOWN = "und"
@@ -38,14 +39,21 @@ def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
     """Raw dictionaries from ``text`` and ``lang``: excerpts of up to SAMPLE_TEXTS distinct texts of each language.
 
     Texts are taken in the order of a hash, each once however often it occurs; excerpts start at a place that the hash
-    names too. Languages grow the result, rows don't.
+    names too. A hash threshold from each language's count of texts thins them out to a few times SAMPLE_TEXTS before any of them is
+    shuffled. Languages grow the result, rows don't.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h")
     )
     order = Window.partitionBy("lang").orderBy("h")
+    # The smallest hashes are taken, so those below a limit that leaves about four times as many hold them all.
+    share = 4 * SAMPLE_TEXTS / F.approx_count_distinct("h")
+    limits = rows.groupBy("lang").agg(
+        F.when(share < 1, (share * 2.0**64 - 2.0**63).cast("long")).otherwise(F.lit(2**63 - 1)).alias("limit")
+    )
+    drawn = rows.select("lang", "h").join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("limit"))
     chosen = (
-        rows.select("lang", "h").distinct().withColumn("place", F.row_number().over(order))
+        drawn.select("lang", "h").distinct().withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= SAMPLE_TEXTS).select("lang", "h")
     )
     picked = [(r.lang, r.h) for r in chosen.collect()]
@@ -87,12 +95,12 @@ class Sizes:
             self._tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False))
 
     def of(self, text: str) -> np.ndarray:
-        """Bytes of a plain text under each dictionary. What is too short for the format to show a difference is
-        measured by the phrases a greedy parse against the dictionary needs."""
+        """Bytes of a plain text under each dictionary; where the two smallest are within CLOSE_BYTES, the phrases that a greedy
+        parse against each dictionary needs are added."""
         body = f" {text} "
         pieces = [body[i : i + PIECE].encode() for i in range(0, len(body), PIECE)]
         sizes = np.array([float(sum(len(t.compress(p)) for p in pieces)) for t in self._tools])
-        if len(body) <= SHORT:
+        if len(sizes) > 1 and np.diff(np.partition(sizes, 1)[:2])[0] <= CLOSE_BYTES:
             sizes += [_phrases(body.encode(), self.raw[lang]) for lang in self.langs]
         return sizes
 

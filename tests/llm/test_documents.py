@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from skyweave.llm import toxicity as spelling
-from skyweave.llm.langid import UNKNOWN, Sizes, language
+from skyweave.llm.langid import SAMPLE_TEXTS, UNKNOWN, Sizes, dictionaries, language, plain
 from skyweave.llm.quality import LineLimits, filtered, quality, without_lines
 from skyweave.llm.queries import QUERIES
 
@@ -165,6 +165,29 @@ def test_language_sees_the_whole_text():
     assert sizes.predict("alpha beta " * 3 + "uno dos tres cuatro " * 500)[0] == "b"
 
 
+def test_one_measure_at_every_length():
+    """Close sizes are decided by phrases, whatever the length; clear ones by the sizes alone."""
+    rng = random.Random(4)
+    raw = {x: " ".join("".join(rng.choice(x) for _ in range(5)) for _ in range(400)).encode() for x in ("abcdefg", "hijklmn")}
+    sizes = Sizes(raw)
+    parts = {x: raw[x].decode().split() for x in raw}
+    for count in (1, 3, 40, 2000):
+        for x in raw:
+            assert sizes.predict(" ".join(rng.choices(parts[x], k=count)))[0] == x
+    even = " ".join(rng.choices(parts["abcdefg"], k=300) + rng.choices(parts["hijklmn"], k=300))
+    plain = [sum(len(t.compress(f" {even} "[i : i + 1500].encode())) for i in range(0, len(even) + 2, 1500)) for t in sizes._tools]
+    added = sizes.of(even) - plain
+    assert (added > 0).all() if abs(plain[0] - plain[1]) <= 8 else not added.any()
+
+
+def test_dictionaries_take_the_smallest_hashes(spark):
+    rows = [(f"text {'x' * (i % 7)} {chr(97 + i % 26)} {i}", "de") for i in range(3000)] + [("copy of one", "de")] * 2000 + [("uno", "es")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    hashes = df.where("lang = 'de'").select(F.xxhash64("text").alias("h"), "text").distinct().orderBy("h").limit(SAMPLE_TEXTS).collect()
+    raw = dictionaries(df)
+    assert raw["de"].decode() == " " + " ".join(plain(r.text) for r in hashes) + " " and raw["es"] == b" uno "
+
+
 FOLD = "crc32(cast(doc_id as string)) % 5"
 
 
