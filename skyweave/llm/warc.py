@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -24,6 +25,7 @@ from skyweave.llm.workspace import Workspace, numbered
 # Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
 VERSION = b"WARC/1.1"
+VERSIONS = (b"WARC/1.0", VERSION)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
@@ -120,48 +122,105 @@ def record(row: dict, payload: bytes) -> bytes:
     return VERSION + b"\r\n" + text + b"\r\n" + block + b"\r\n\r\n"
 
 
+def _headers(lines: list[bytes], where: str) -> dict[str, str]:
+    """Header fields by lower-case name; a line that begins with white space goes on with the field before it."""
+    fields: dict[str, str] = {}
+    name = ""
+    for line in lines:
+        text = line.decode(errors="replace")
+        if name and text[:1] in (" ", "\t"):
+            fields[name] += " " + text.strip()
+            continue
+        name, colon, value = text.partition(":")
+        name = name.strip().lower()
+        if not colon or not name:
+            raise ArchiveError(f"{where}: header {line!r}")
+        # A URL keeps its spaces, so that what was written comes back.
+        fields[name] = value.removeprefix(" ") if name == "warc-target-uri" else value.strip()
+    return fields
+
+
+def _digest_of(value: str, data: bytes) -> str | None:
+    """The announced digest of the kind of ``value`` made from ``data``, written as there; None for kinds not known."""
+    kind, _, text = value.partition(":")
+    if kind.lower() not in ("sha1", "sha256", "md5"):
+        return None
+    made = hashlib.new(kind.lower(), data)
+    written = made.hexdigest() if len(text) == 2 * made.digest_size else base64.b32encode(made.digest()).decode()
+    return f"{kind}:{written}"
+
+
+def _checked(fields: dict[str, str], name: str, data: bytes, where: str) -> None:
+    if name in fields:
+        made = _digest_of(fields[name], data)
+        if made is not None and made.lower() != fields[name].lower():
+            raise ArchiveError(f"{where}: {name}")
+
+
+def _sha1_hex(value: str) -> str | None:
+    """The lower-case hex SHA-1 an announced digest stands for, if it is one."""
+    kind, _, text = value.partition(":")
+    if kind.lower() != "sha1":
+        return None
+    try:
+        return text.lower() if len(text) == 40 else base64.b32decode(text.upper()).hex()
+    except ValueError:
+        raise ArchiveError(f"digest {value!r}") from None
+
+
 def parsed(data: bytes, where: str = "") -> dict:
-    """The record in one frame, with headers, lengths and digests validated."""
+    """The record in one frame, of any type and of version 1.0 or 1.1, with headers, lengths and digests validated.
+
+    Of a response the payload is what follows the HTTP header, of other types the block; a revisit has none, and its
+    length and digest are those announced for the full payload, null where they are not.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not gap or lines[0] != VERSION:
+    if not gap or lines[0] not in VERSIONS:
         raise ArchiveError(f"{where}: not a record")
-    fields = {}
-    for line in lines[1:]:
-        name, colon, value = line.decode().partition(": ")
-        if not colon:
-            raise ArchiveError(f"{where}: header {line!r}")
-        fields[name.lower()] = value
-    for name in ("warc-type", "warc-record-id", "warc-date", "content-length", "warc-payload-digest"):
+    fields = _headers(lines[1:], where)
+    for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in fields:
             raise ArchiveError(f"{where}: no {name}")
+    if not re.fullmatch("[0-9]+", fields["content-length"]):
+        raise ArchiveError(f"{where}: content-length {fields['content-length']!r}")
     length = int(fields["content-length"])
     block = rest[:length]
     if len(block) != length or rest[length:] != b"\r\n\r\n":
         raise ArchiveError(f"{where}: block of {len(rest) - 4} bytes, {length} announced")
-    if "warc-block-digest" in fields and fields["warc-block-digest"] != (
-        "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
-    ):
-        raise ArchiveError(f"{where}: block digest")
-    http, gap, payload = block.partition(b"\r\n\r\n")
-    sizes = [v for k, _, v in (x.partition(b": ") for x in http.split(b"\r\n")) if k.lower() == b"content-length"]
-    if not gap or len(sizes) != 1:
-        raise ArchiveError(f"{where}: HTTP header")
-    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != int(sizes[0]) or hashlib.sha1(payload).hexdigest() != digest):
-        raise ArchiveError(f"{where}: payload")
-    if kind == "revisit" and payload:
-        raise ArchiveError(f"{where}: a revisit with a payload")
+    _checked(fields, "warc-block-digest", block, where)
+    kind = fields["warc-type"].lower()
+    payload, announced = block, None
+    if kind in ("response", "revisit") and fields.get("content-type", "").lower().startswith("application/http"):
+        http, gap, payload = block.partition(b"\r\n\r\n")
+        sizes = [v for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.strip().lower() == b"content-length"]
+        # A revisit may leave out the headers altogether.
+        if (not gap and (kind == "response" or block)) or len(sizes) > 1:
+            raise ArchiveError(f"{where}: HTTP header")
+        if sizes:
+            if not sizes[0].strip().isdigit():
+                raise ArchiveError(f"{where}: HTTP content-length")
+            announced = int(sizes[0])
+    elif kind == "revisit":
+        payload = b""
+    if kind == "revisit":
+        if payload:
+            raise ArchiveError(f"{where}: a revisit with a payload")
+        size, digest = announced, _sha1_hex(fields.get("warc-payload-digest", ""))
+    else:
+        if announced is not None and announced != len(payload) and "warc-truncated" not in fields:
+            raise ArchiveError(f"{where}: payload")
+        _checked(fields, "warc-payload-digest", payload, where)
+        size, digest = len(payload), hashlib.sha1(payload).hexdigest()
     number = lambda name: int(fields[name]) if name in fields else None
     return {
         "page_id": number("x-page-id"),
         "url": None if "x-no-url" in fields else fields.get("warc-target-uri"),
         "record_type": kind,
         "refers_to": number("x-refers-to-page-id"),
-        "payload_bytes": int(sizes[0]),
+        "payload_bytes": size,
         "payload_digest": digest,
-        "payload": payload if kind == "response" else None,
+        "payload": None if kind == "revisit" else payload,
     }
 
 

@@ -182,3 +182,39 @@ def test_reader_validates():
     for old, new in ((b"WARC/1.1", b"WARC/9"), (b"abc\r\n\r\n", b"abd\r\n\r\n"), (b"abc\r\n\r\n", b"abc"), (b"WARC-Date", b"Date")):
         with pytest.raises(warc.ArchiveError):
             warc.parsed(good.replace(old, new))
+
+
+def test_reader_takes_any_record_type():
+    def made(kind, block, *extra, version="1.0"):
+        head = [f"WARC/{version}", f"WARC-Type:{kind}", "WARC-Record-ID: <urn:x:1>", "WARC-Date:2020-01-01T00:00:00Z", *extra]
+        return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+    sha = lambda x: hashlib.sha1(x).hexdigest()
+    http = "Content-Type: application/http; msgtype=response"
+    page = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\nabc"
+    cases = [
+        (made("warcinfo", b"software: x\r\n"), "warcinfo", b"software: x\r\n"),
+        (made("request", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http; msgtype=request"), "request", b"GET / HTTP/1.1\r\n\r\n"),
+        (made("metadata", b"", version="1.1"), "metadata", b""),
+        (made("response", page, http, "WARC-Target-URI: http://a/\r\n b"), "response", b"abc"),
+        (made("resource", b"abc", f"WARC-Payload-Digest: sha1:{sha(b'abc').upper()}"), "resource", b"abc"),
+        (made("resource", b"abc", "WARC-Payload-Digest: md9:00"), "resource", b"abc"),
+    ]
+    for record, kind, payload in cases:
+        found = warc.parsed(record)
+        assert (found["record_type"], found["payload"], found["payload_digest"]) == (kind, payload, sha(payload))
+        assert found["payload_bytes"] == len(payload) and found["page_id"] is None
+    again = warc.parsed(made("revisit", b"", http, f"WARC-Payload-Digest: sha1:{sha(b'abc')}"))
+    assert (again["payload"], again["payload_bytes"], again["payload_digest"]) == (None, None, sha(b"abc"))
+    broken = [
+        made("resource", b"abd", f"WARC-Payload-Digest: sha1:{sha(b'abc')}"),
+        made("resource", b"abd", f"WARC-Block-Digest: sha256:{hashlib.sha256(b'abc').hexdigest()}"),
+        made("response", b"no header", http),
+        made("response", b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\nabc", http),
+        made("revisit", page, http),
+        made("metadata", b"x", "no colon"),
+        made("metadata", b"x").replace(b"Content-Length: 1", b"Content-Length: -1"),
+    ]
+    for record in broken:
+        with pytest.raises(warc.ArchiveError):
+            warc.parsed(record)
