@@ -16,6 +16,8 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from pyspark.sql import types as T
 TARGET_ROWS = 4_000_000
 # Parts a range of the axis is divided into at each look.
 _PARTS = 64
+# Most numbers that are sent to the JVM one by one; longer lists travel packed to Arrow functions.
+_LISTED = 256
 
 _CARRY, _SLICE, _AXIS, _TIE = "__carry", "__slice", "__axis", "__tie"
 _INF = float("inf")
@@ -81,7 +85,12 @@ def _cut_points(df: DataFrame, column: str, exact: str, target_rows: int) -> tup
             .orderBy("__part")
             .collect()
         )
-        finer = {x for p in parts if p.n > target_rows and p.low < p.high for x in _divided(p.low, p.high)}
+        finer = {
+            x
+            for p in parts
+            if p.n > target_rows and p.low < p.high
+            for x in _divided(p.low, p.high, min(_PARTS, 4 + 4 * (p.n // target_rows)))
+        }
         if finer <= set(splits):
             break
         splits = sorted({*splits, *finer, *(p.low for p in parts if p.n > target_rows)})
@@ -96,9 +105,9 @@ def _cut_points(df: DataFrame, column: str, exact: str, target_rows: int) -> tup
     return cuts, heavy
 
 
-def _divided(low: float, high: float) -> list[float]:
+def _divided(low: float, high: float, parts: int = _PARTS) -> list[float]:
     """Points that divide a range evenly, its upper end included, as far as numbers lie between."""
-    points = {low + (high - low) * (i / _PARTS) for i in range(1, _PARTS + 1)}
+    points = {low + (high - low) * (i / parts) for i in range(1, parts + 1)}
     return sorted(x for x in points | {high} if low < x <= high)
 
 
@@ -123,17 +132,40 @@ def plan_slices(df: DataFrame, order: str, tie: str | None = None, target_rows:
         heavy.append(-_INF)
     if not tie or not heavy:
         return Slices(tuple(cuts))
-    crowd = axis.where(F.col(_AXIS).isin(heavy))
-    return Slices(tuple(cuts), tuple(sorted(heavy)), tuple(_cut_points(crowd, _TIE, "__by", target_rows)[0]))
+    heavy.sort()
+    crowd = axis.where(_is_one_of(_AXIS, tuple(heavy)))
+    return Slices(tuple(cuts), tuple(heavy), tuple(_cut_points(crowd, _TIE, "__by", target_rows)[0]))
 
 
 def _bucketed(df: DataFrame, column: str, cuts: tuple[float, ...], out: str) -> DataFrame:
     inner = [c for c in cuts if -_INF < c < _INF]
     if not inner:
         return df.withColumn(out, F.lit(0.0))
+    if len(inner) > _LISTED:
+        points = np.array(inner)
+
+        @F.pandas_udf("double")
+        def place(values: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(points, values.to_numpy(), side="right").astype(np.float64))
+
+        return df.withColumn(out, place(column))
     return Bucketizer(splits=[-_INF, *inner, _INF], inputCol=column, outputCol=out).transform(df)
 
 
+def _is_one_of(column: str, values: tuple[float, ...]) -> Column:
+    """Whether a column without nulls has one of the values, which are in order."""
+    if len(values) <= _LISTED:
+        return F.col(column).isin(list(values))
+    points = np.array(values)
+
+    @F.pandas_udf("boolean")
+    def found(given: pd.Series) -> pd.Series:
+        at = np.minimum(np.searchsorted(points, given.to_numpy()), len(points) - 1)
+        return pd.Series(points[at] == given.to_numpy())
+
+    return found(column)
+
+
 def _with_slice(df: DataFrame, order: str, tie: str | None, slices: Slices) -> DataFrame:
     """Add the slice number; it grows with the (order, tie) position of a row."""
     out = df.withColumn(_AXIS, _axis(df, order))
@@ -143,7 +175,7 @@ def _with_slice(df: DataFrame, order: str, tie: str | None, slices: Slices) -> D
     # Within a cut of the axis, a heavy instant is always the first one (cuts are closed on the
     # left), so "rest of the cut" must come after all of its pieces.
     out = _bucketed(out.withColumn(_TIE, _axis(df, tie)), _TIE, slices.tie_cuts, "__s2")
-    piece = F.when(F.col(_AXIS).isin(list(slices.heavy)), F.col("__s2").cast("int")).otherwise(
+    piece = F.when(_is_one_of(_AXIS, slices.heavy), F.col("__s2").cast("int")).otherwise(
         F.lit(len(slices.tie_cuts) + 1)
     )
     return out.withColumn(_SLICE, F.struct(F.col("__s1").cast("int").alias("a"), piece.alias("b"))).drop(

@@ -205,3 +205,28 @@ class OnACluster:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(RuntimeError):
         session.scratch_root(OnACluster())
+
+
+def test_many_slices_ask_for_few_parts(spark, monkeypatch):
+    asked, bucketed = [], sequence._bucketed
+
+    def counted(df, column, cuts, out):
+        asked.append(len(cuts))
+        return bucketed(df, column, cuts, out)
+
+    monkeypatch.setattr(sequence, "_bucketed", counted)
+    df = spark.range(20_000).select((F.col("id") % 7).alias("k"), F.col("id").alias("at"))
+    slices = plan_slices(df, "at", target_rows=4)
+    assert len(slices.cuts) >= 5_000 and max(asked) <= 10 * len(slices.cuts)
+    found = ordered_scan(df, ["k"], "at", previous={"was": F.col("at")}, slices=slices)
+    wrong = F.when(F.col("at") < 7, F.col("was").isNotNull()).otherwise(~F.col("was").eqNullSafe(F.col("at") - 7))
+    assert found.count() == 20_000 and found.where(wrong).count() == 0
+
+
+def test_many_heavy_instants(spark, monkeypatch):
+    monkeypatch.setattr(sequence, "_LISTED", 4)
+    df = spark.range(600).select(F.lit("a").alias("k"), F.expr("CASE WHEN id < 40 THEN NULL ELSE id DIV 20 END").alias("at"), "id")
+    slices = plan_slices(df, "at", "id", 8)
+    assert len(slices.heavy) > 4 and len(slices.cuts) > 4 and len(slices.tie_cuts) > 4
+    scanned = ordered_scan(df, ["k"], "at", "id", running={"n": F.lit(1)}, slices=slices)
+    assert scanned.where(F.col("n") != F.col("id") + 1).count() == 0 and scanned.count() == 600
