@@ -1,6 +1,7 @@
 """Boosted trees: bins, one round against plain loops, quality, storage, odd input."""
 
 import json
+import pickle
 
 import numpy as np
 import pytest
@@ -170,3 +171,25 @@ def test_empty_and_single_class(spark):
     assert {r.prediction for r in empty.transform(df).collect()} == {0.0}
     single = fit_boosting(df, ["a", "b"], "label_index", "class_weight", 1, 2)
     assert {r.prediction for r in single.transform(df).collect()} == {0.0}
+
+
+def test_only_splits_reach_the_driver(spark, monkeypatch):
+    """Neither the number of tasks nor the size of the sums bears on what a level sends to the driver."""
+    sent, set_splits = [], boosting._set_splits
+
+    def measured(found, growing, level):
+        sent.append(len(pickle.dumps(found)))
+        set_splits(found, growing, level)
+
+    monkeypatch.setattr(boosting, "_set_splits", measured)
+    monkeypatch.setattr(boosting, "STORE_ROUNDS", 1)
+    rows = rows_of(1500)
+    scores = []
+    for tasks in (1, 3):
+        df = frame(spark, rows).repartition(tasks)
+        model = fit_boosting(df, ["a", "b"], "label_index", "class_weight", 3, 3)
+        found = {r.id: r.margins for r in model.transform(df).collect()}
+        scores.append(found)
+    assert len(sent) == 30 and max(sent) < 10_000
+    for i in scores[0]:
+        assert np.allclose(scores[0][i], scores[1][i], atol=1e-6)
