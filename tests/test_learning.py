@@ -107,3 +107,13 @@ def test_an_alias_loads_what_it_points_to(spark, split_rows, monkeypatch):
     assert one == two
     runs = {(r.run, r.kind, r.name) for r in registry.runs().collect()}
     assert (learning.FOREST, "param", "trees") in runs and (learning.LOGISTIC, "metric", "macro_f1") in runs
+
+
+def test_stored_rows_are_scored_on_all_cores(spark):
+    class Same:
+        def transform(self, df):
+            return df.withColumn(f"{learning.LABEL}_pred", F.lit("Climb"))
+
+    scored = learning.score(Same(), spark.range(0, 1000, 1, 1))
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert scored.count() == 1000 and scored.columns == ["id", "flight_phase_pred"]
