@@ -3,8 +3,9 @@
 A model spells a word by its beginnings: three letters, then five, then seven, then the whole. Each step is a discounted count of the class;
 what the discount frees goes to the shared backoff, the share of the distinct words of both classes that go on that way.
 A word neither class has seen takes the ratio of its longest known beginning, and a word without one says
-nothing. Words the toxic model makes likelier by LEAST or more are evidence; a document's evidence is normalised by its
-length and a logistic curve turns it into a score.
+nothing. Both models rate every word of every document: the difference of the two log-likelihoods of a document is normalised by its
+length. Words the toxic model makes likelier by LEAST or more are evidence besides, for a few of them drown in a long text. A
+logistic curve turns the comparison and the evidence into a score.
 
 All tables of the model are Spark tables that grow with the corpus; none of them reaches the driver.
 """
@@ -12,12 +13,12 @@ All tables of the model are Spark tables that grow with the corpus; none of them
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,25 +29,21 @@ CUTS = (3, 5, 7)
 """Letters of the beginnings a word backs off to."""
 DISCOUNT = 0.75
 LEAST = 2.5
-"""Words whose log-likelihood ratio is below this count as equally likely in both models."""
+"""Least log-likelihood ratio of a word that is evidence by itself."""
 CALIBRATION_ROWS = 20_000
 """About the most labelled rows the curve over the features is fitted on; the counts of the models take all others."""
-SALTS = 16
-MAP_BITS = 1 << 26
-"""Bits of the map that tells tasks which words may be evidence, 8 MB at every size. A full map sends more words to the exact join
-and changes no result."""
 HELD_WORDS = 300_000
-"""Words a task holds at a time."""
+"""Words a task holds at a time; a block of documents ends with the chunk that reaches as many."""
 SCALE = 1_000_000
 """Ratios are added up as whole millionths, so that no order of addition changes a score."""
 
-FEATURES = ("excess", "strongest")
-"""The sum of the ratios of a document's evidence by the root of its number of distinct words, and the largest of them."""
+FEATURES = ("comparison", "size", "excess", "strongest")
+"""The sum of the ratios of all distinct words of a document by their number; the logarithm of that number, on which the spread of the first
+depends; the sum of the ratios of its evidence by the root of the number, and the largest of them."""
 
 _RUN = re.compile(r"[^\W\d_]+")
 # Thai, Lao, Burmese, Khmer, kana and Han letters: scripts that do not part words.
 _UNPARTED = re.compile("[฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿]")
-_BITMAP_BYTES = 4096
 
 
 def words_of(text: str) -> set[str]:
@@ -128,31 +125,16 @@ class Model:
     beginnings: DataFrame
     """key, ratio: the same for words that begin so and are known no further."""
 
-    def evidence_map(self) -> bytes:
-        """A bit for the hash of each word, or beginning, that is evidence; MAP_BITS bits whatever the corpus."""
-        keys = self.words.where(F.col("ratio") >= LEAST).select(F.concat("word", F.lit("$")).alias("key"))
-        keys = keys.union(self.beginnings.where(F.col("ratio") >= LEAST).select("key"))
-        bit = keys.select((F.crc32("key") % MAP_BITS).alias("bit"))
-        size = 8 * _BITMAP_BYTES
-        pieces = (
-            bit.groupBy((F.col("bit") / size).cast("long").alias("piece"))
-            .agg(F.bitmap_construct_agg(F.col("bit") % size).alias("bits"))
-            .collect()
-        )
-        out = bytearray(MAP_BITS // 8)
-        for row in pieces:
-            out[row.piece * _BITMAP_BYTES : (row.piece + 1) * _BITMAP_BYTES] = row.bits
-        return bytes(out)
-
-    def rated(self, words: DataFrame) -> DataFrame:
-        """word, ratio of the distinct ``word`` rows that are evidence."""
-        out = words.join(self.words, "word", "left")
+    def rated(self, words: DataFrame, workspace: Workspace) -> DataFrame:
+        """word, ratio of the distinct ``word`` rows; words without a known beginning are left out."""
+        seen = workspace.keep(words.join(self.words, "word", "left"), "seen")
+        out = seen.where(F.col("ratio").isNull()).select("word")
         for cut in CUTS:
             known = self.beginnings.where(F.length("key") == cut).select(F.col("key").alias(f"k{cut}"), F.col("ratio").alias(f"r{cut}"))
             begin = F.when(F.length("word") > cut, F.substring("word", 1, cut))
             out = out.withColumn(f"k{cut}", begin).join(known, f"k{cut}", "left")
-        ratio = F.coalesce("ratio", *[f"r{c}" for c in reversed(CUTS)])
-        return out.select("word", ratio.alias("ratio")).where(F.col("ratio") >= LEAST)
+        begun = out.select("word", F.coalesce(*[f"r{c}" for c in reversed(CUTS)]).alias("ratio"))
+        return seen.union(begun).where(F.col("ratio").isNotNull())
 
 
 def fitted(words: DataFrame, workspace: Workspace) -> Model:
@@ -191,72 +173,85 @@ def fitted(words: DataFrame, workspace: Workspace) -> Model:
     return Model(words, workspace.keep(beginnings, "beginnings"))
 
 
-def _marked(bits: bytes, word: str) -> bool:
-    """Whether the map has a bit for a word or one of its beginnings."""
-    for key in (word + "$", *[word[:c] for c in CUTS if len(word) > c]):
-        at = zlib.crc32(key.encode()) % MAP_BITS
-        if bits[at >> 3] >> (at & 7) & 1:
-            return True
-    return False
-
+def indexed(docs: DataFrame) -> DataFrame:
+    """Rows of two kinds: the rows of ``docs`` without ``text`` as ``block``, ``at`` (the place in it) and ``n_words``; and each distinct
+    ``word`` of a block with the places ``held`` of the rows it is in.
 
-def suspects(docs: DataFrame, bits: bytes) -> DataFrame:
-    """``docs`` (``text`` and others) with ``n_words`` and the ``words`` the map marks in place of the text."""
+    Words are sent on once for each block and not for each document. Write the result before using it more than once.
+    """
     rest = [c for c in docs.columns if c != "text"]
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, held = shared.value, {}
-
-        def marked(word):
-            found = held.get(word)
-            if found is None:
-                if len(held) >= HELD_WORDS:
-                    held.clear()
-                found = held[word] = _marked(marks, word)
-            return found
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
+    fields += ["block long", "at int", "n_words long", "word string", "held array<int>"]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, rows, pairs, places = TaskContext.get().partitionId() << 33, 0, 0, defaultdict(list)
+        kinds = None
+
+        def filled(size, **columns):
+            names = [*rest, "block", "at", "n_words", "word", "held"]
+            made = {"block": pa.array([block] * size, pa.int64()), **columns}
+            return pa.RecordBatch.from_arrays([made[n] if n in made else pa.nulls(size, kinds[n]) for n in names], names=names)
+
+        def emptied():
+            known = list(places)
+            for i in range(0, len(known), 50_000):
+                part = known[i : i + 50_000]
+                held = pa.array([places[w] for w in part], pa.list_(pa.int32()))
+                yield filled(len(part), word=pa.array(part, pa.string()), held=held)
+            places.clear()
 
         for batch in batches:
-            for at, part in chunks(batch.column("text").fill_null(""), CHUNK_BYTES):
-                found = [words_of(text) for text in part.to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(c).slice(at, len(part)) for c in rest],
-                        pa.array([len(x) for x in found], pa.int64()),
-                        pa.array([[w for w in x if marked(w)] for x in found], pa.list_(pa.string())),
-                    ],
-                    names=[*rest, "n_words", "words"],
-                )
+            kinds = {c: batch.column(c).type for c in rest}
+            kinds |= {"at": pa.int32(), "n_words": pa.int64(), "word": pa.string(), "held": pa.list_(pa.int32())}
+            for start, part in chunks(batch.column("text").fill_null(""), CHUNK_BYTES):
+                sizes = []
+                for i, text in enumerate(part.to_pylist()):
+                    found = words_of(text)
+                    sizes.append(len(found))
+                    for word in found:
+                        places[word].append(rows + i)
+                given = {c: batch.column(c).slice(start, len(part)) for c in rest}
+                at = pa.array(range(rows, rows + len(part)), pa.int32())
+                yield filled(len(part), **given, at=at, n_words=pa.array(sizes, pa.int64()))
+                rows, pairs = rows + len(part), pairs + sum(sizes)
+                if pairs >= HELD_WORDS:
+                    yield from emptied()
+                    block, rows, pairs = block + 1, 0, 0
+        yield from emptied()
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest] + ["n_words long", "words array<string>"]
-    return docs.select("text", *[F.col(f"`{c}`") for c in rest]).mapInArrow(pick, ", ".join(fields))
+    return docs.select("text", *[F.col(f"`{c}`") for c in rest]).mapInArrow(split, ", ".join(fields))
 
 
 def described(docs: DataFrame, model: Model, workspace: Workspace) -> DataFrame:
-    """Every row of ``docs`` (``doc_id``, ``text``): row_id, doc_id, FEATURES; zeros for texts without evidence.
+    """Every row of ``docs`` (``doc_id``, ``text``): row_id, doc_id, FEATURES; zeros for texts without known words.
 
-    Texts are not shuffled: a task sends on only words that may be evidence. A word may be in any share of all rows, so the rows of
-    each are dealt to SALTS tasks.
+    Texts are not shuffled: a task sends on the distinct words of a block of documents with their places in it, and the ratios come back
+    to the block.
     """
-    found = workspace.keep(numbered(suspects(docs.select("doc_id", "text"), model.evidence_map())), "suspects")
-    pairs = found.select("row_id", F.explode("words").alias("word"))
-    rated = workspace.keep(model.rated(pairs.select("word").distinct()), "rated")
-    salted = rated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+    found = workspace.keep(indexed(docs.select("doc_id", "text")), "indexed")
+    places = found.where(F.col("word").isNotNull()).select("block", "word", "held")
+    rated = workspace.keep(model.rated(places.select("word").distinct(), workspace), "rated")
+    # Words grow with the documents, so they are never broadcast: the plan is the same at every size.
+    met = places.join(rated.hint("merge"), "word").select("block", "held", "ratio").repartition("block")
+    part = F.round(F.col("ratio") * SCALE).cast("long")
+    strong = F.when(F.col("ratio") >= LEAST, part)
     sums = (
-        pairs.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)))
-        .join(salted, ["word", "salt"])
-        .withColumn("parts", F.round(F.col("ratio") * SCALE).cast("long"))
-        .groupBy("row_id")
-        .agg(F.sum("parts").alias("all"), F.max("parts").alias("top"))
+        met.select("block", part.alias("part"), strong.alias("strong"), F.explode("held").alias("at"))
+        .groupBy("block", "at")
+        .agg(F.sum("part").alias("all"), F.sum("strong").alias("strong"), F.max("strong").alias("top"))
     )
-    every = found.select("row_id", "doc_id", "n_words").join(sums, "row_id", "left")
+    every = found.where(F.col("word").isNull()).select("block", "at", "doc_id", "n_words").join(sums, ["block", "at"], "left")
+    zero = F.lit(0.0)
     return workspace.keep(
-        every.select(
-            "row_id",
-            "doc_id",
-            F.coalesce(F.col("all") / SCALE / F.sqrt("n_words"), F.lit(0.0)).alias("excess"),
-            F.coalesce(F.col("top") / SCALE, F.lit(0.0)).alias("strongest"),
-        ),
+        numbered(
+            every.select(
+                "doc_id",
+                F.coalesce(F.col("all") / SCALE / F.col("n_words"), zero).alias("comparison"),
+                F.log1p("n_words").alias("size"),
+                F.coalesce(F.col("strong") / SCALE / F.sqrt("n_words"), zero).alias("excess"),
+                F.coalesce(F.col("top") / SCALE, zero).alias("strongest"),
+            )
+        ).select("row_id", "doc_id", *FEATURES),
         "described",
     )
 
@@ -273,7 +268,7 @@ class Curve:
         return 1 / (1 + F.exp(-total))
 
 
-DEFAULT_CURVE = Curve((1.0, 0.5), -3.0)
+DEFAULT_CURVE = Curve((1.0, 0.0, 1.0, 0.5), -3.0)
 """For corpora with too few labelled rows to fit a curve."""
 
 
@@ -299,10 +294,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, fold, workspace: Workspace) ->
 
     ``fold`` is a column of 0 to 4 made of doc_id: labels (``doc_id``, ``toxic``) are learnt from outside fold 0 only, words
     from folds 2 to 4 and the curve from fold 1, so that it sees words as strange as new ones are. Texts pass
-    through one shuffle, for the join with the labels of three folds; all rows are described without one. Null and empty texts
+    through one shuffle, for the join with the labels of three folds; all rows are described by the words of their blocks. Null and empty texts
     score like texts without any sign; very long ones are read whole; null ids are in no fold; null labels and other values than 0
     and 1 are left out. Repeated rows score alike; an empty table gives an empty result; other columns are not looked at. Without
-    labels of both kinds no word is evidence and DEFAULT_CURVE holds.
+    labels of both kinds no word has a ratio and DEFAULT_CURVE holds.
     """
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     # Labels grow with the documents, so they are never broadcast: the plan is the same at every size.

@@ -288,6 +288,32 @@ def test_kneser_ney_by_brute_force(spark, workspace):
         assert abs(r.excess - sum(strong) / max(1, len(seen)) ** 0.5) < 1e-4
 
 
+def test_whole_texts_are_compared(spark, workspace, monkeypatch):
+    """Words that are likelier in ordinary documents, or a little likelier in toxic ones, count too, in any cut into blocks."""
+    rng = random.Random(4)
+    stock = ["".join(rng.choice("abcdef") for _ in range(rng.randint(2, 9))) for _ in range(120)]
+    texts = [(" ".join(rng.choices(stock[: 80 if i % 2 else 120], k=20)), i % 2) for i in range(200)]
+    words, begun, _ = plain_ratios(texts)
+    table = workspace.keep(spelling.counted(spark.createDataFrame(texts, "text string, toxic int")), "counted")
+    model = spelling.fitted(table, workspace)
+    rows = [(i, t) for i, (t, _) in enumerate(texts)] + [(900, None), (901, "  "), (902, stock[100] + "zz xyzzy"), (None, stock[3]), (0, stock[90])]
+    expected = []
+    for i, text in rows:
+        seen = spelling.words_of(text or "")
+        known = (words.get(w, next((begun[w[:c]] for c in (7, 5, 3) if len(w) > c and w[:c] in begun), 0.0)) for w in seen)
+        expected.append((str(i), len(seen), sum(known) / max(1, len(seen))))
+    assert sum(c < -0.5 for _, _, c in expected) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for n, held in enumerate((spelling.HELD_WORDS, 30)):
+        monkeypatch.setattr(spelling, "HELD_WORDS", held)
+        monkeypatch.setattr(spelling, "CHUNK_BYTES", 2_000_000 if n == 0 else 300)
+        found = spelling.described(docs, model, workspace.__class__(spark, f"blocks{n}")).collect()
+        assert len({r.row_id for r in found}) == len(rows)
+        found = sorted((str(r.doc_id), round(np.expm1(r.size)), r.comparison) for r in found)
+        for got, wanted in zip(found, sorted(expected), strict=True):
+            assert got[:2] == wanted[:2] and abs(got[2] - wanted[2]) < 1e-5
+
+
 def test_words_of_scripts():
     assert spelling.words_of("Über-Maß x1y Ёлка") == {"über", "maß", "x", "y", "ёлка"}
     assert spelling.words_of("漢字仮 ab") == {"漢字", "字仮", "ab"}
