@@ -96,6 +96,24 @@ def test_only_touched_ranges_are_rewritten(spark):
     assert sorted((r.valid_from, r.valid_to) for r in found.where("k = 7").collect()) == [(1, 2), (2, None)]
 
 
+@pytest.mark.parametrize("apply", [history.current_state, history.state_history])
+def test_what_is_written_does_not_grow_with_the_batches(spark, monkeypatch, apply):
+    path, root = scratch_path(spark, "feed"), scratch_path(spark, "many")
+    rows = [(k, s, f"{k}-{s}", False) for s in range(24) for k in range(50)]
+    for at in range(0, len(rows), 50):
+        spark.createDataFrame(rows[at : at + 50], FEED).coalesce(1).write.mode("append").parquet(path)
+    folds, fold = [], history._fold
+    monkeypatch.setattr(history, "_fold", lambda *a: (folds.append(1), fold(*a)))
+    found = apply(run.file_stream(spark, path, files_per_batch=1), root, "k", "seq", F.col("gone"), folders=2)
+    # Before, each of the 24 batches rewrote the table.
+    assert len(folds) < 14
+    assert found.count() == (50 if apply is history.current_state else 1200)
+    if apply is history.state_history:
+        assert found.where("is_current = (valid_from = 23) and (is_current or valid_to = valid_from + 1)").count() == 1200
+    waiting = [p for p in Path(root).glob("*-waiting/*") if not p.name.startswith(".")]
+    assert not waiting
+
+
 def test_schema_follows_the_deliveries(spark):
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "evolving")
     evolving = ingest.EvolvingTable(spark, root)
