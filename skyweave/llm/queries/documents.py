@@ -41,6 +41,6 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_toxicity")
 def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity(
-        table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(5), Workspace(spark, "toxicity")
+        table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(5), Workspace(spark, "toxicity", frees=True)
     )
     return found.select("doc_id", "held_out", "score", "predicted")

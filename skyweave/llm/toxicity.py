@@ -13,10 +13,13 @@ All tables of the model are Spark tables that grow with the corpus; none of them
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -34,6 +37,10 @@ CALIBRATION_ROWS = 20_000
 """About the most labelled rows the curve over the features is fitted on; the counts of the models take all others."""
 HELD_WORDS = 300_000
 """Words a task holds at a time; a block of documents ends with the chunk that reaches as many."""
+PARTS = 256
+"""Least number of parts the words are dealt to by a hash."""
+PART_BYTES = 1 << 26
+"""Bytes of text for each part, where that makes more parts: a task holds the ratios of a part at a time."""
 SCALE = 1_000_000
 """Ratios are added up as whole millionths, so that no order of addition changes a score."""
 
@@ -170,40 +177,68 @@ def fitted(words: DataFrame, workspace: Workspace) -> Model:
         words = words.union(part)
     for part in begun[1:]:
         beginnings = beginnings.union(part)
-    return Model(words, workspace.keep(beginnings, "beginnings"))
+    model = Model(words, workspace.keep(beginnings, "beginnings"))
+    workspace.drop(*[f"nodes-{cut}" for cut in nodes])
+    return model
 
 
-def indexed(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: the rows of ``docs`` without ``text`` as ``block``, ``at`` (the place in it) and ``n_words``; and each distinct
-    ``word`` of a block with the places ``held`` of the rows it is in.
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits, all first bytes before all second ones, compressed."""
+    return zlib.compress(np.ascontiguousarray(numbers, dtype="<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def parts_of(docs: DataFrame) -> int:
+    """How many parts the words of ``docs`` are dealt to."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(PARTS, -(-size // PART_BYTES))
+
+
+def indexed(docs: DataFrame, parts: int) -> DataFrame:
+    """Rows of two kinds: the rows of ``docs`` without ``text`` as ``block``, ``at`` (the place in it) and ``n_words``; and for each
+    ``part`` of the distinct words of a block these ``words``, parted by blanks, and packed in ``held`` for each word the number of rows it
+    is in, then the places of these rows.
 
     Words are sent on once for each block and not for each document. Write the result before using it more than once.
     """
     rest = [c for c in docs.columns if c != "text"]
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
-    fields += ["block long", "at int", "n_words long", "word string", "held array<int>"]
+    fields += ["block long", "at int", "n_words long", "part int", "words string", "held binary"]
+    most, chunk_bytes = HELD_WORDS, CHUNK_BYTES
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, rows, pairs, places = TaskContext.get().partitionId() << 33, 0, 0, defaultdict(list)
         kinds = None
 
         def filled(size, **columns):
-            names = [*rest, "block", "at", "n_words", "word", "held"]
+            names = [*rest, "block", "at", "n_words", "part", "words", "held"]
             made = {"block": pa.array([block] * size, pa.int64()), **columns}
             return pa.RecordBatch.from_arrays([made[n] if n in made else pa.nulls(size, kinds[n]) for n in names], names=names)
 
         def emptied():
-            known = list(places)
-            for i in range(0, len(known), 50_000):
-                part = known[i : i + 50_000]
-                held = pa.array([places[w] for w in part], pa.list_(pa.int32()))
-                yield filled(len(part), word=pa.array(part, pa.string()), held=held)
+            dealt = defaultdict(list)
+            for word in sorted(places):
+                dealt[zlib.crc32(word.encode()) % parts].append(word)
+            held = []
+            for words in dealt.values():
+                at = [places[w] for w in words]
+                held.append(packed(np.fromiter(chain(map(len, at), chain.from_iterable(at)), dtype="<i4")))
+            yield filled(
+                len(dealt),
+                part=pa.array(list(dealt), pa.int32()),
+                words=pa.array([" ".join(words) for words in dealt.values()], pa.string()),
+                held=pa.array(held, pa.binary()),
+            )
             places.clear()
 
         for batch in batches:
             kinds = {c: batch.column(c).type for c in rest}
-            kinds |= {"at": pa.int32(), "n_words": pa.int64(), "word": pa.string(), "held": pa.list_(pa.int32())}
-            for start, part in chunks(batch.column("text").fill_null(""), CHUNK_BYTES):
+            kinds |= {"at": pa.int32(), "n_words": pa.int64(), "part": pa.int32(), "words": pa.string(), "held": pa.binary()}
+            for start, part in chunks(batch.column("text").fill_null(""), chunk_bytes):
                 sizes = []
                 for i, text in enumerate(part.to_pylist()):
                     found = words_of(text)
@@ -214,35 +249,94 @@ def indexed(docs: DataFrame) -> DataFrame:
                 at = pa.array(range(rows, rows + len(part)), pa.int32())
                 yield filled(len(part), **given, at=at, n_words=pa.array(sizes, pa.int64()))
                 rows, pairs = rows + len(part), pairs + sum(sizes)
-                if pairs >= HELD_WORDS:
+                if pairs >= most:
                     yield from emptied()
                     block, rows, pairs = block + 1, 0, 0
-        yield from emptied()
+        if places:
+            yield from emptied()
 
     return docs.select("text", *[F.col(f"`{c}`") for c in rest]).mapInArrow(split, ", ".join(fields))
 
 
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of their parts, known words first: block, part and the packed codes of the words asked for, 0 if unknown."""
+    now, codes = None, {}
+    for batch in batches:
+        rows, found = [batch.column(c).to_pylist() for c in ("part", "block", "words", "code")], []
+        for part, block, words, code in zip(*rows):
+            if part != now:
+                now, codes = part, {}
+            if block is None:
+                codes[words] = code
+            else:
+                found.append((block, part, packed(np.array([codes.get(w, 0) for w in words.split(" ")]))))
+        columns = zip(*found) if found else ([], [], [])
+        kinds = {"block": pa.int64(), "part": pa.int32(), "codes": pa.binary()}
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
+
+
+def answered(asked: DataFrame, rated: DataFrame, parts: int) -> DataFrame:
+    """block, part, codes: for the ``words`` of each row of ``asked`` (``block``, ``part``, ``words``) twice the ratio in ``rated`` in whole
+    millionths, and 1 more for evidence.
+
+    Words travel as one text for each block and part; ratios come back without them.
+    """
+    code = 2 * F.round(F.col("ratio") * SCALE) + (F.col("ratio") >= LEAST).cast("int")
+    known = rated.select(
+        F.pmod(F.crc32("word"), F.lit(parts)).cast("int").alias("part"),
+        F.lit(None).cast("long").alias("block"),
+        F.col("word").alias("words"),
+        code.cast("int").alias("code"),
+    )
+    both = known.unionByName(asked.select("part", "block", "words", F.lit(None).cast("int").alias("code")))
+    return both.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_answers, "block long, part int, codes binary")
+
+
+def summed(held: pa.Table, answers: pa.Table) -> pa.Table:
+    """Sums over the words of each row of a block: all ratios, those of evidence, and the largest of these."""
+    codes = dict(zip(answers.column("part").to_pylist(), answers.column("codes").to_pylist()))
+    places, met = [], []
+    for part, data in zip(held.column("part").to_pylist(), held.column("held").to_pylist()):
+        code, data = unpacked(codes[part]), unpacked(data)
+        places.append(data[len(code) :])
+        met.append(np.repeat(code, data[: len(code)]))
+    at, row = np.unique(np.concatenate(places), return_inverse=True)
+    met = np.concatenate(met).astype(np.int64)
+    ratio = met >> 1
+    strong = np.where(met & 1, ratio, 0)
+    sums, top = np.zeros((2, len(at)), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+    np.add.at(sums[0], row, ratio)
+    np.add.at(sums[1], row, strong)
+    np.maximum.at(top, row, strong)
+    block = [held.column("block")[0].as_py()] * len(at)
+    return pa.table(
+        {"block": pa.array(block, pa.int64()), "at": pa.array(at, pa.int32()), "all": sums[0], "strong": sums[1], "top": top}
+    )
+
+
 def described(docs: DataFrame, model: Model, workspace: Workspace) -> DataFrame:
     """Every row of ``docs`` (``doc_id``, ``text``): row_id, doc_id, FEATURES; zeros for texts without known words.
 
-    Texts are not shuffled: a task sends on the distinct words of a block of documents with their places in it, and the ratios come back
-    to the block.
+    Texts are not shuffled: a task sends on the distinct words of a block of documents, packed by parts; the ratios come back to the block and
+    meet the places of the words there.
     """
-    found = workspace.keep(indexed(docs.select("doc_id", "text")), "indexed")
-    places = found.where(F.col("word").isNotNull()).select("block", "word", "held")
-    rated = workspace.keep(model.rated(places.select("word").distinct(), workspace), "rated")
-    # Words grow with the documents, so they are never broadcast: the plan is the same at every size.
-    met = places.join(rated.hint("merge"), "word").select("block", "held", "ratio").repartition("block")
-    part = F.round(F.col("ratio") * SCALE).cast("long")
-    strong = F.when(F.col("ratio") >= LEAST, part)
+    parts = parts_of(docs)
+    found = workspace.keep(indexed(docs.select("doc_id", "text"), parts), "indexed")
+    blocks = found.where(F.col("words").isNotNull())
+    words = blocks.select(F.explode(F.split("words", " ")).alias("word"))
+    rated = workspace.keep(model.rated(words.distinct(), workspace), "rated")
+    workspace.drop("seen")
+    answers = workspace.keep(answered(blocks, rated, parts), "answers")
+    workspace.drop("rated")
     sums = (
-        met.select("block", part.alias("part"), strong.alias("strong"), F.explode("held").alias("at"))
-        .groupBy("block", "at")
-        .agg(F.sum("part").alias("all"), F.sum("strong").alias("strong"), F.max("strong").alias("top"))
+        blocks.select("block", "part", "held")
+        .groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(lambda a, b: summed(a, b), "block long, at int, all long, strong long, top long")
     )
-    every = found.where(F.col("word").isNull()).select("block", "at", "doc_id", "n_words").join(sums, ["block", "at"], "left")
+    every = found.where(F.col("words").isNull()).select("block", "at", "doc_id", "n_words").join(sums, ["block", "at"], "left")
     zero = F.lit(0.0)
-    return workspace.keep(
+    out = workspace.keep(
         numbered(
             every.select(
                 "doc_id",
@@ -254,6 +348,8 @@ def described(docs: DataFrame, model: Model, workspace: Workspace) -> DataFrame:
         ).select("row_id", "doc_id", *FEATURES),
         "described",
     )
+    workspace.drop("indexed", "answers")
+    return out
 
 
 @dataclass
@@ -303,7 +399,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, fold, workspace: Workspace) ->
     # Labels grow with the documents, so they are never broadcast: the plan is the same at every size.
     learnt = docs.select("doc_id", "text").where(fold >= 2).join(known.where(fold >= 2).hint("merge"), "doc_id")
     words = workspace.keep(counted(learnt.select("text", "toxic")), "words")
-    rows = described(docs, fitted(words, workspace), workspace)
+    model = fitted(words, workspace)
+    workspace.drop("words")
+    rows = described(docs, model, workspace)
     line = curve(rows.where(fold == 1).join(known, "doc_id").select("doc_id", "toxic", *FEATURES))
     return (
         rows.withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -314,6 +315,40 @@ def test_whole_texts_are_compared(spark, workspace, monkeypatch):
             assert got[:2] == wanted[:2] and abs(got[2] - wanted[2]) < 1e-5
 
 
+def test_words_travel_packed(spark, workspace, monkeypatch):
+    """A block sends a row for each part and not for each word, and keeps nothing it no longer needs."""
+    rng = random.Random(8)
+    monkeypatch.setattr(spelling, "HELD_WORDS", 400)
+    monkeypatch.setattr(spelling, "CHUNK_BYTES", 1000)
+    stock = ["".join(rng.choice("abéß漢") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choices(stock, k=rng.randint(0, 40))) for _ in range(90)] + [None, "", "12 _"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = workspace.keep(spelling.indexed(docs.coalesce(1), 4), "packed").collect()
+    sent = [r for r in rows if r.words is not None]
+    blocks = {r.block for r in sent}
+    assert len(blocks) > 3 and len(sent) <= 4 * len(blocks)
+    found = {(r.block, r.at): (r.doc_id, r.n_words, set()) for r in rows if r.words is None}
+    for r in sent:
+        held, words = spelling.unpacked(r.held), r.words.split(" ")
+        assert {zlib.crc32(w.encode()) % 4 for w in words} == {r.part}
+        ends = len(words) + np.cumsum(held[: len(words)])
+        for word, places in zip(words, np.split(held[len(words) :], ends[:-1] - len(words))):
+            for at in places:
+                found[r.block, at][2].add(word)
+    assert sorted(d for d, _, _ in found.values()) == list(range(len(texts)))
+    assert all(seen == spelling.words_of(texts[d] or "") and n == len(seen) for d, n, seen in found.values())
+
+    table = workspace.keep(spelling.counted(docs.withColumn("toxic", F.lit(1)).fillna("")), "counted")
+    spelling.described(docs, spelling.fitted(table, workspace), workspace).count()
+    left = {p.name for p in Path(workspace.path.removeprefix("file:")).iterdir()}
+    assert "described" in left and not left & {"indexed", "seen", "rated", "answers", "nodes-7"}
+
+
+def test_packed_numbers():
+    for numbers in ([0], [1, -1, 2**31 - 1, -(2**31)], list(range(-500, 500))):
+        assert spelling.unpacked(spelling.packed(np.array(numbers))).tolist() == numbers
+
+
 def test_words_of_scripts():
     assert spelling.words_of("Über-Maß x1y Ёлка") == {"über", "maß", "x", "y", "ёлка"}
     assert spelling.words_of("漢字仮 ab") == {"漢字", "字仮", "ab"}
