@@ -30,7 +30,7 @@ def test_the_whole_training_part_is_there(spark, large):
     assert train.count() + held_out.count() == curated(spark, large).count()
 
 
-@pytest.mark.parametrize("name", ["ml_boosting"])
+@pytest.mark.parametrize("name", ["ml_boosting", "ml_compare"])
 def test_models_see_the_whole_training_part(spark, large, monkeypatch, name):
     seen, real = [], learning.fit
 
@@ -39,8 +39,8 @@ def test_models_see_the_whole_training_part(spark, large, monkeypatch, name):
         return real(learning.LOGISTIC, train.where("event_id < 2000"), features)
 
     monkeypatch.setattr(learning, "fit", fit)
-    monkeypatch.setattr(learning, "BOOSTING_ROUNDS", {"ml_boosting": 1}[name])
+    monkeypatch.setattr(learning, "BOOSTING_ROUNDS", {"ml_boosting": 1, "ml_compare": 2}[name])
     getattr(queries, name)(spark, large).collect()
     held_out = queries.parts(spark, large)[1].count()
     assert set(seen) == {curated(spark, large).count() - held_out}
-    assert len(seen) == {"ml_boosting": 1}[name]
+    assert len(seen) == {"ml_boosting": 1, "ml_compare": 3}[name]
